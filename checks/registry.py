@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, time
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixture import AS_OF, CONFIG, record_tables
@@ -26,10 +25,13 @@ from clinsift.operators import (
 from clinsift.operators.clients import CLIENT, live
 from clinsift.sources import TABLES
 
-USER = F.lit(7).alias("user_id")
 Query = Callable[[RecordTables], DataFrame]
 
 
+def _user() -> Column:
+    return F.lit(7).alias("user_id")
+
+
 def rule(
     name: str, variant: Variant, site_safe: bool = False
 ) -> Callable[[RecordTables], DataFrame]:
@@ -130,7 +132,6 @@ def _found_people(t: RecordTables, name: str) -> DataFrame:
 
 def _corrections() -> dict[str, Query]:
     """Each correction with decisions for all findings of its rule."""
-    now = F.lit(datetime.combine(AS_OF, time())).cast("timestamp_ntz")
 
     def birthdates(t: RecordTables, name: str, day: str) -> DataFrame:
         found = rule(name, CENTRAL)(t).where(F.col(day).isNotNull())
@@ -141,7 +142,7 @@ def _corrections() -> dict[str, Query]:
 
     def void_visits(t: RecordTables) -> DataFrame:
         late = rule("r02_visit_after_death", CENTRAL)(t)
-        decisions = late.select("encounter_id", "site_id").distinct().select("*", USER)
+        decisions = late.select("encounter_id", "site_id").distinct().select("*", _user())
         return corrections.void_visits(t.encounter, decisions, CONFIG, as_of=AS_OF)
 
     def obs_before_birth(t: RecordTables) -> DataFrame:
@@ -160,24 +161,24 @@ def _corrections() -> dict[str, Query]:
         found = client_observations(
             t.obs, men, has_answer(), CONFIG.maternal_questions, CONFIG
         )
-        decisions = found.select("obs_id", "site_id").distinct().select("*", USER)
+        decisions = found.select("obs_id", "site_id").distinct().select("*", _user())
         return corrections.void_observations(t.obs, decisions, CONFIG, as_of=AS_OF)
 
     def state_start(t: RecordTables) -> DataFrame:
         found = rule("r06_art_date_implausible", CENTRAL)(t).select(*CLIENT).distinct()
         states = reviews.treatment_states(t, found, CONFIG).join(found, CLIENT, "left_semi")
         decisions = states.select(
-            "patient_state_id", "site_id", F.lit("1999-01-01").alias("correct_date"), USER
+            "patient_state_id", "site_id", F.lit("1999-01-01").alias("correct_date"), _user()
         )
         return corrections.set_state_start(t.patient_state, decisions, CONFIG, as_of=AS_OF)
 
     def obs_value(t: RecordTables, site_safe: bool) -> DataFrame:
         keys = ["obs_id", "site_id"] if site_safe else ["obs_id"]
         empty = t.obs.where(
-            live & F.col("concept_id").isin(*CONFIG.measures) & F.col("value_numeric").isNull()
+            live() & F.col("concept_id").isin(*CONFIG.measures) & F.col("value_numeric").isNull()
         )
         decisions = empty.select(*keys).distinct().select(
-            "*", F.lit(50.0).alias("correct_value"), USER
+            "*", F.lit(50.0).alias("correct_value"), _user()
         )
         return corrections.set_obs_value(
             t.obs, decisions, CONFIG, as_of=AS_OF, site_safe=site_safe
@@ -186,7 +187,7 @@ def _corrections() -> dict[str, Query]:
     def height(t: RecordTables) -> DataFrame:
         found = rule("r08_adult_no_height", CENTRAL)(t).select(*CLIENT).distinct()
         decisions = found.select(
-            "*", F.lit(AS_OF).alias("visit_date"), F.lit(150.0).alias("height_value"), USER
+            "*", F.lit(AS_OF).alias("visit_date"), F.lit(150.0).alias("height_value"), _user()
         )
         return corrections.insert_height(t.obs, decisions, CONFIG, as_of=AS_OF)
 
@@ -197,16 +198,16 @@ def _corrections() -> dict[str, Query]:
             "encounter_id",
             F.col("visit_date").alias("encounter_datetime"),
             F.lit(120.0).alias("height_in_cm"),
-            USER,
+            _user(),
         ).distinct()
         return corrections.insert_height_at_visit(t.obs, decisions, CONFIG, as_of=AS_OF)
 
     def breastfeeding_no(t: RecordTables) -> DataFrame:
         found = rule("r10_breastfeeding", CENTRAL)(t).select(*CLIENT).distinct()
-        visits = t.encounter.where(live).select(*CLIENT, "encounter_id", "encounter_datetime")
+        visits = t.encounter.where(live()).select(*CLIENT, "encounter_id", "encounter_datetime")
         last = latest_per_group(visits, CLIENT, "encounter_datetime", ["encounter_id"])
         decisions = found.join(last, CLIENT).select(
-            *CLIENT, "encounter_id", now.alias("current_encounter_datetime"), USER
+            *CLIENT, "encounter_id", F.lit(AS_OF).cast("timestamp_ntz").alias("current_encounter_datetime"), _user()
         )
         return corrections.insert_breastfeeding_no(t.obs, decisions, CONFIG, as_of=AS_OF)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinsift.config import DEFAULT, Config
@@ -15,7 +15,9 @@ PROGRAM = ["patient_program_id", "site_id"]
 PERSON_COLUMNS = ("gender", "birthdate", "birthdate_estimated")
 PROGRAM_COLUMNS = ("state", "start_date", "end_date", "date_enrolled")
 
-live = F.col("voided") == 0
+
+def live() -> Column:
+    return F.col("voided") == 0
 
 
 def persons(t: RecordTables) -> DataFrame:
@@ -59,11 +61,11 @@ def _enrolled(
     The ``distinct`` comes before the client tables are joined: a client with very many
     state rows is reduced on the map side and cannot crowd one task of those joins.
     """
-    states = t.patient_state.where(live & (F.col("state") == state) & F.col("end_date").isNull())
+    states = t.patient_state.where(live() & (F.col("state") == state) & F.col("end_date").isNull())
     if require_start:
         states = states.where(F.col("start_date").isNotNull())
-    programs = t.patient_program.where(live & (F.col("program_id") == cfg.hiv_program))
-    patients = t.patient.where(live)
+    programs = t.patient_program.where(live() & (F.col("program_id") == cfg.hiv_program))
+    patients = t.patient.where(live())
     kept = [c for c in columns if c in PROGRAM_COLUMNS]
     return (
         states.select(*PROGRAM, "state", "start_date", "end_date")

@@ -16,8 +16,9 @@ def skew_join(
     on: Sequence[str],
     spread_by: Sequence[str | Column],
     salts: int,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join of a large fact side with a much smaller side.
+    """Join a large fact side with a much smaller side (``inner`` or ``left``).
 
     The facts of one key are dealt into ``salts`` groups and the small side is copied
     once per group, so a client with a third of all observations is shared by several
@@ -31,11 +32,13 @@ def skew_join(
     No broadcast is asked for: Spark takes one where the small side is known to be
     under ``spark.sql.autoBroadcastJoinThreshold``, at planning or at run time.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"skew_join cannot do a {how} join")
     if salts < 2:
-        return facts.join(keyed, on=list(on))
+        return facts.join(keyed, on=list(on), how=how)
     dealt = facts.withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     copied = keyed.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(copied, on=[*on, _SALT]).drop(_SALT)
+    return dealt.join(copied, on=[*on, _SALT], how=how).drop(_SALT)
 
 
 def keep_matching(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -53,4 +56,11 @@ def _key_set(keys: DataFrame, on: Sequence[str]) -> DataFrame:
 
     NULL keys can never match and would only crowd into one partition.
     """
-    return keys.select(*on).dropna(how="any").distinct()
+    return present(keys.select(*on), on).distinct()
+
+
+def present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows in which none of the columns is NULL."""
+    for c in columns:
+        df = df.where(F.col(c).isNotNull())
+    return df

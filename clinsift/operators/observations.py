@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clinsift.config import DEFAULT, Config
 from clinsift.operators.clients import CLIENT, live
-from clinsift.operators.joins import drop_matching, skew_join
+from clinsift.operators.joins import drop_matching, present, skew_join
 
 MEASURES = ("weight", "height_cm", "bmi")
 
@@ -23,7 +23,7 @@ def client_observations(
     candidate rows are shuffled.
     """
     facts = (
-        obs.where(live & F.col("concept_id").isin(*concepts) & answered)
+        obs.where(live() & F.col("concept_id").isin(*concepts) & answered)
         .withColumnRenamed("person_id", "patient_id")
         .drop("voided")
     )
@@ -41,14 +41,16 @@ def label_obs(obs: DataFrame, concept_name: DataFrame, cfg: Config = DEFAULT) ->
     """Add ``observation_question`` (required) and ``observation_answer`` (optional).
 
     Called last, on findings: a name table over the broadcast threshold then costs a
-    shuffle of findings only, never of ``obs``.
+    shuffle of findings only, never of ``obs``.  Few questions and many missing coded
+    answers make hot keys, so that shuffle is salted.
     """
     names = labels(concept_name, cfg)
     questions = names.withColumnRenamed("name", "observation_question")
     answers = names.select(
         F.col("concept_id").alias("value_coded"), F.col("name").alias("observation_answer")
     )
-    return obs.join(questions, on="concept_id").join(answers, on="value_coded", how="left")
+    asked = skew_join(obs, questions, ["concept_id"], ["obs_id"], cfg.salts)
+    return skew_join(asked, answers, ["value_coded"], ["obs_id"], cfg.salts, how="left")
 
 
 def measure_pivot(obs: DataFrame, keys: Sequence[str], cfg: Config = DEFAULT) -> DataFrame:
@@ -61,8 +63,7 @@ def measure_pivot(obs: DataFrame, keys: Sequence[str], cfg: Config = DEFAULT) ->
         return F.max(F.when(F.col("concept_id") == concept, F.col("value_numeric"))).alias(name)
 
     return (
-        obs.where(live & F.col("concept_id").isin(*cfg.measures))
-        .dropna(how="any", subset=list(keys))
+        present(obs.where(live() & F.col("concept_id").isin(*cfg.measures)), keys)
         .groupBy(*keys)
         .agg(
             highest(cfg.weight, "weight"),
@@ -91,6 +92,6 @@ def latest_per_group(
 def without_height(clients: DataFrame, obs: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Clients for whom no live height with a value was ever recorded."""
     measured = obs.where(
-        live & (F.col("concept_id") == cfg.height) & F.col("value_numeric").isNotNull()
+        live() & (F.col("concept_id") == cfg.height) & F.col("value_numeric").isNotNull()
     ).withColumnRenamed("person_id", "patient_id")
     return drop_matching(clients, measured, on=CLIENT)

@@ -24,7 +24,7 @@ from clinsift.config import CENTRAL, DEFAULT, Config
 from clinsift.functions import as_of_column, normalise_gender
 from clinsift.operators.clients import live
 from clinsift.operators.ids import with_new_ids
-from clinsift.operators.joins import drop_matching
+from clinsift.operators.joins import drop_matching, present
 from clinsift.sources.schemas import require_columns
 
 
@@ -45,7 +45,7 @@ def _only_one(decisions: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.lit(f"more than one decision for {list(keys)} = "),
         F.concat_ws(", ", *(F.col(k).cast("string") for k in keys)),
     )
-    counted = decisions.dropna(how="any", subset=list(keys)).groupBy(*keys).agg(
+    counted = present(decisions, keys).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), *(F.min(v).alias(v) for v in values)
     )
     # the check is a column that the caller reads, so it is never pruned away
@@ -95,7 +95,7 @@ def _update(
 
 def normalise_genders(person: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Known spellings of live rows become M or F; NULL and unknown values stay."""
-    strange = ~F.col("gender").isin(*cfg.valid_genders[CENTRAL]) & live
+    strange = ~F.col("gender").isin(*cfg.valid_genders[CENTRAL]) & live()
     fixed = F.when(strange, normalise_gender(F.col("gender"))).otherwise(F.col("gender"))
     return person.withColumn("gender", fixed)
 
@@ -106,7 +106,7 @@ def clear_death(person: DataFrame, decisions: DataFrame, cfg: Config = DEFAULT)
     Rule 2 looks at the "died" state, so its finding stays.
     """
     fixed = {"death_date": F.lit(None), "dead": F.lit(0)}
-    return _update(person, decisions, ["person_id", "site_id"], {}, fixed, live)
+    return _update(person, decisions, ["person_id", "site_id"], {}, fixed, live())
 
 
 def set_birthdate(person: DataFrame, decisions: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
@@ -120,7 +120,7 @@ def set_gender_female(
 ) -> DataFrame:
     """Male by mistake (decisions: person_id, site_id); live rows only."""
     return _update(
-        person, decisions, ["person_id", "site_id"], {}, {"gender": F.lit("F")}, live
+        person, decisions, ["person_id", "site_id"], {}, {"gender": F.lit("F")}, live()
     )
 
 
@@ -170,7 +170,7 @@ def set_state_start(
         ["patient_state_id", "site_id"],
         {"start_date": ("correct_date", kind), "changed_by": ("user_id", "bigint")},
         {"date_changed": as_of_column(as_of)},
-        live & (F.col("state") == cfg.state_on_art),
+        live() & (F.col("state") == cfg.state_on_art),
     )
 
 
@@ -190,7 +190,7 @@ def set_obs_datetime(obs: DataFrame, decisions: DataFrame, cfg: Config = DEFAULT
         ["obs_id", "site_id", "person_id"],
         {"obs_datetime": ("obs_datetime", kind)},
         {},
-        live,
+        live(),
     )
 
 
@@ -208,7 +208,7 @@ def void_observations(
         ["obs_id", "site_id"],
         {"voided_by": ("user_id", "bigint")},
         _voiding(texts.VOID_OBS_REASON, as_of),
-        live,
+        live(),
     )
 
 
@@ -231,7 +231,7 @@ def set_obs_value(
         ["obs_id", "site_id"] if site_safe else ["obs_id"],
         {"value_numeric": ("correct_value", "double"), "changed_by": ("user_id", "bigint")},
         {"date_changed": as_of_column(as_of)},
-        live,
+        live(),
     )
 
 

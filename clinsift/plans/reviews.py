@@ -18,11 +18,11 @@ def birth_and_treatment(t: RecordTables, cfg: Config = DEFAULT) -> DataFrame:
     """
     start = F.to_date("start_date")
     states = t.patient_state.where(
-        live & (F.col("state") == cfg.state_on_art) & F.col("start_date").isNotNull()
+        live() & (F.col("state") == cfg.state_on_art) & F.col("start_date").isNotNull()
     ).select("patient_state_id", *PROGRAM, "start_date")
-    programs = t.patient_program.where(live).select(*PROGRAM, "patient_id")
+    programs = t.patient_program.where(live()).select(*PROGRAM, "patient_id")
     people = persons(t).select(*CLIENT, "birthdate").where(F.col("birthdate").isNotNull())
-    patients = t.patient.where(live).select(*CLIENT)
+    patients = t.patient.where(live()).select(*CLIENT)
     rows = skew_join(states, programs, PROGRAM, spread_by=["patient_state_id"], salts=cfg.salts)
     found = skew_join(
         rows,
@@ -49,7 +49,7 @@ def treatment_states(
     """
     patients = keep_matching(t.patient.select(*CLIENT), review, ["patient_id"])
     programs = patients.join(t.patient_program.select(*PROGRAM, "patient_id"), on=CLIENT)
-    states = t.patient_state.where(live & (F.col("state") == cfg.state_on_art)).select(
+    states = t.patient_state.where(live() & (F.col("state") == cfg.state_on_art)).select(
         "patient_state_id", *PROGRAM, "start_date", "date_created", "date_changed"
     )
     rows = skew_join(states, programs, PROGRAM, spread_by=["patient_state_id"], salts=cfg.salts)
@@ -79,7 +79,7 @@ def not_in_pmtct(t: RecordTables, cfg: Config = DEFAULT) -> DataFrame:
         columns=["start_date"],
         require_start=True,
     )
-    enrolled = t.patient_program.where(live & (F.col("program_id") == cfg.pmtct_program))
+    enrolled = t.patient_program.where(live() & (F.col("program_id") == cfg.pmtct_program))
     return drop_matching(women, enrolled, CLIENT).select(
         "patient_id",
         "site_id",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinsift import texts
@@ -12,10 +12,13 @@ from clinsift.operators.observations import client_observations, label_obs, late
 from clinsift.plans.rules.common import BY_PATIENT, BY_SITE_AND_PATIENT, RuleContext, finding
 from clinsift.sources.tables import RecordTables
 
-ANSWER_TEXT = F.col("value_text").alias("obs_answer_text")
 
 
-def _source(ctx: RuleContext):
+def _answer_text() -> Column:
+    return F.col("value_text").alias("obs_answer_text")
+
+
+def _source(ctx: RuleContext) -> Column:
     return answer_source(F.col("value_coded"), F.col("value_text"), ctx.cfg).alias("answer_source")
 
 
@@ -29,7 +32,7 @@ def male_pregnancy(t: RecordTables, ctx: RuleContext) -> DataFrame:
         t.obs, men, has_answer(cfg=ctx.cfg), ctx.cfg.maternal_questions, ctx.cfg
     )
     named = label_obs(found, t.concept_name, ctx.cfg)
-    answer = ["value_coded", "observation_answer", ANSWER_TEXT, _source(ctx)]
+    answer = ["value_coded", "observation_answer", _answer_text(), _source(ctx)]
     question = ["patient_id", "site_id", "concept_id", "observation_question"]
     if ctx.central:
         day = F.to_date("obs_datetime")
@@ -81,7 +84,7 @@ def female_age_range(t: RecordTables, ctx: RuleContext) -> DataFrame:
             F.to_date("obs_datetime").alias("obs_date"),
             "value_coded",
             "observation_answer",
-            ANSWER_TEXT,
+            _answer_text(),
             *finding(flag, texts.ATEMPORAL, level),
         )
     else:
@@ -93,7 +96,7 @@ def female_age_range(t: RecordTables, ctx: RuleContext) -> DataFrame:
             "value_datetime",
             "value_numeric",
             "observation_answer",
-            ANSWER_TEXT,
+            _answer_text(),
             issue.alias("issue"),
         )
     return ctx.sort(out.distinct(), BY_PATIENT, BY_SITE_AND_PATIENT)
@@ -131,7 +134,7 @@ def pregnant_at_treatment_start(t: RecordTables, ctx: RuleContext) -> DataFrame:
             F.col("obs_datetime").alias("obs_date"),
             "value_coded",
             "observation_answer",
-            ANSWER_TEXT,
+            _answer_text(),
             "value_datetime",
             F.lit(texts.DET_PREGNANT_AT_START).alias("issue"),
         ).distinct()
@@ -147,7 +150,7 @@ def pregnant_at_treatment_start(t: RecordTables, ctx: RuleContext) -> DataFrame:
         day.alias("obs_date"),
         "value_coded",
         "observation_answer",
-        ANSWER_TEXT,
+        _answer_text(),
         _source(ctx),
         days.alias("days_from_art_start"),
         *finding(
@@ -192,7 +195,7 @@ def breastfeeding(t: RecordTables, ctx: RuleContext) -> DataFrame:
         )
         out = named.select(
             "patient_id", "site_id", "concept_id", "observation_question", latest_day,
-            "value_coded", "observation_answer", ANSWER_TEXT, _source(ctx),
+            "value_coded", "observation_answer", _answer_text(), _source(ctx),
             days.alias("days_since_obs"),
             *finding(flag, texts.TEMPORAL, F.when(old, texts.HIGH).otherwise(texts.LOW)),
         )

@@ -26,23 +26,20 @@ def visit_after_death(t: RecordTables, ctx: RuleContext) -> DataFrame:
     dead = cohort(
         t, ctx.cfg, state=ctx.cfg.state_died, columns=["state", "start_date", "end_date"]
     )
-    visits = t.encounter.where(live).select(*VISIT, "encounter_type")
+    visits = t.encounter.where(live()).select(*VISIT, "encounter_type")
     if ctx.central or ctx.site_safe:
-        matched = skew_join(visits, dead, CLIENT, spread_by=["encounter_id"], salts=ctx.cfg.salts)
+        matched = skew_join(visits, dead, CLIENT, ["encounter_id"], ctx.cfg.salts)
     else:
-        matched = skew_join(
-            visits.drop("site_id"),
-            dead,
-            ["patient_id"],
-            spread_by=["encounter_id"],
-            salts=ctx.cfg.salts,
-        )
+        visits = visits.drop("site_id")
+        matched = skew_join(visits, dead, ["patient_id"], ["encounter_id"], ctx.cfg.salts)
     late = matched.where(F.col("encounter_datetime") > F.col("start_date"))
     # type names last: only findings meet the name table
     types = t.encounter_type.select(
         F.col("encounter_type_id").alias("encounter_type"), F.col("name").alias("type_name")
     )
-    named = late.join(types, on="encounter_type").drop("encounter_type")
+    named = skew_join(late, types, ["encounter_type"], ["encounter_id"], ctx.cfg.salts).drop(
+        "encounter_type"
+    )
 
     if not ctx.central:
         out = named.select(
@@ -78,7 +75,7 @@ def child_missing_measures(t: RecordTables, ctx: RuleContext) -> DataFrame:
     age = age_years(F.col("birthdate"), F.col("encounter_datetime"))
     visits = (
         skew_join(
-            t.encounter.where(live).select(*VISIT),
+            t.encounter.where(live()).select(*VISIT),
             clients,
             CLIENT,
             spread_by=["encounter_id"],

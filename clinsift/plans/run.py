@@ -25,7 +25,7 @@ def prepare(tables: RecordTables, cfg: Config = DEFAULT) -> RecordTables:
     joined once.  Worth it from a few rules on: six rules scan ``obs`` and all ten
     need clients.
     """
-    facts = tables.obs.where(live & F.col("concept_id").isin(*cfg.rule_concepts)).drop(
+    facts = tables.obs.where(live() & F.col("concept_id").isin(*cfg.rule_concepts)).drop(
         *AUDIT_COLUMNS
     )
     clients = {

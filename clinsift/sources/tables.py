@@ -6,9 +6,8 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
-from clinsift.sources.schemas import SCHEMAS, TABLES, require_columns
+from clinsift.sources.schemas import SCHEMAS, TABLES, ddl, require_columns
 
 
 @dataclass(frozen=True)
@@ -39,15 +38,21 @@ class RecordTables:
 
 
 def read_parquet(
-    spark: SparkSession, path: str, schemas: Mapping[str, StructType] | None = None
+    spark: SparkSession, path: str, columns: Mapping[str, Mapping[str, str]] | None = None
 ) -> RecordTables:
     """Read ``<path>/<table>.parquet`` (file or folder) with declared schemas.
 
-    Pass ``schemas`` to keep site-specific extra columns or other column types.
+    ``columns`` (table -> column -> type) adds site-specific columns, which
+    corrections then carry along, or states other types.
     """
-    wanted = {**SCHEMAS, **(schemas or {})}
+    extra = columns or {}
     return RecordTables(
-        **{t: spark.read.schema(wanted[t]).parquet(f"{path}/{t}.parquet") for t in TABLES}
+        **{
+            t: spark.read.schema(ddl({**SCHEMAS[t], **extra.get(t, {})})).parquet(
+                f"{path}/{t}.parquet"
+            )
+            for t in TABLES
+        }
     )
 
 
