@@ -5,6 +5,11 @@ returns the whole table with the decisions applied; write it with
 ``sources.write_version``.  Updates keep the number of rows and can be repeated with
 the same result.
 
+On a large table this need not mean rewriting all of it.  Updates take any part of the
+table: ``at_decided_sites`` picks the sites that have decisions, and
+``sources.replace_partitions`` swaps just those.  Inserts with ``only_new`` return the
+rows to append.
+
 Decisions are best read from the file they were reviewed in.  Spark then knows their
 size and broadcasts them if they are under ``spark.sql.autoBroadcastJoinThreshold``,
 which leaves the big table where it is; more decisions than that are joined by a
@@ -24,7 +29,7 @@ from clinsift.config import CENTRAL, DEFAULT, Config
 from clinsift.functions import as_of_column, normalise_gender
 from clinsift.operators.clients import live
 from clinsift.operators.ids import with_new_ids
-from clinsift.operators.joins import drop_matching, present
+from clinsift.operators.joins import drop_matching, keep_matching, present
 from clinsift.sources.schemas import require_columns
 
 
@@ -90,6 +95,14 @@ def _update(
     )
 
 
+def at_decided_sites(table: DataFrame, decisions: DataFrame) -> DataFrame:
+    """The rows of all sites with decisions.
+
+    On a table stored by site, Spark prunes the other sites' folders at run time.
+    """
+    return keep_matching(table, decisions, ["site_id"])
+
+
 # --- person ---------------------------------------------------------------------
 
 
@@ -241,12 +254,13 @@ def _insert(
     values: Mapping[str, tuple[str, str]],
     fixed: Mapping[str, Column],
     as_of: date | None,
+    only_new: bool,
 ) -> DataFrame:
-    """Append one live observation per decision; other columns are NULL.
+    """One live observation per decision, after all others; columns not named are NULL.
 
     If the decisions bring an ``obs_id`` it is used, and one that the table already
     has at that site is left out, so the job can be repeated.  Otherwise numbers
-    follow on from the highest one.
+    follow on from the highest one, which costs a pass over that column.
     """
     require_columns(obs, "obs", audit=True)
     own_ids = "obs_id" in decisions.columns
@@ -267,8 +281,11 @@ def _insert(
         fresh = drop_matching(fresh, obs, keys)
     else:
         fresh = with_new_ids(fresh, obs, "obs_id")
-    typed = [F.col(c).cast(obs.schema[c].dataType).alias(c) for c in fresh.columns]
-    return obs.unionByName(fresh.select(*typed), allowMissingColumns=True)
+    columns = {c: F.lit(None) for c in obs.columns} | {c: F.col(c) for c in fresh.columns}
+    new_rows = fresh.select(
+        *(columns[c].cast(obs.schema[c].dataType).alias(c) for c in obs.columns)
+    )
+    return new_rows if only_new else obs.unionByName(new_rows)
 
 
 def _each_once(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -291,6 +308,7 @@ def insert_height(
     cfg: Config = DEFAULT,
     *,
     as_of: date | None = None,
+    only_new: bool = False,
 ) -> DataFrame:
     """Add a height without a visit.
 
@@ -304,7 +322,8 @@ def insert_height(
         "value_numeric": ("height_value", "double"),
         "creator": ("user_id", "bigint"),
     }
-    return _insert(obs, decisions, values, {"concept_id": F.lit(cfg.height)}, as_of)
+    fixed = {"concept_id": F.lit(cfg.height)}
+    return _insert(obs, decisions, values, fixed, as_of, only_new)
 
 
 def insert_height_at_visit(
@@ -313,6 +332,7 @@ def insert_height_at_visit(
     cfg: Config = DEFAULT,
     *,
     as_of: date | None = None,
+    only_new: bool = False,
 ) -> DataFrame:
     """Add a height taken at a visit.
 
@@ -327,7 +347,8 @@ def insert_height_at_visit(
         "value_numeric": ("height_in_cm", "double"),
         "creator": ("user_id", "bigint"),
     }
-    return _insert(obs, decisions, values, {"concept_id": F.lit(cfg.height)}, as_of)
+    fixed = {"concept_id": F.lit(cfg.height)}
+    return _insert(obs, decisions, values, fixed, as_of, only_new)
 
 
 def insert_breastfeeding_no(
@@ -336,6 +357,7 @@ def insert_breastfeeding_no(
     cfg: Config = DEFAULT,
     *,
     as_of: date | None = None,
+    only_new: bool = False,
 ) -> DataFrame:
     """Record that breastfeeding has ended.
 
@@ -350,4 +372,4 @@ def insert_breastfeeding_no(
         "creator": ("user_id", "bigint"),
     }
     fixed = {"concept_id": F.lit(cfg.breastfeeding), "value_coded": F.lit(cfg.no)}
-    return _insert(obs, decisions, values, fixed, as_of)
+    return _insert(obs, decisions, values, fixed, as_of, only_new)

@@ -1,5 +1,5 @@
 from clinsift.sources.schemas import SCHEMAS, TABLES, require_columns
-from clinsift.sources.sinks import stage, stage_dir, write_version
+from clinsift.sources.sinks import replace_partitions, stage, stage_dir, write_version
 from clinsift.sources.tables import RecordTables, read_catalog, read_parquet
 
 __all__ = [
@@ -8,6 +8,7 @@ __all__ = [
     "RecordTables",
     "read_catalog",
     "read_parquet",
+    "replace_partitions",
     "require_columns",
     "stage",
     "stage_dir",

@@ -27,6 +27,24 @@ def write_version(df: DataFrame, path: str, partition_by: Sequence[str] = ("site
         df.hint("rebalance").write.mode("errorifexists").parquet(path)
 
 
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str] = ("site_id",)
+) -> None:
+    """Swap only those partitions of a stored table that occur in ``df``.
+
+    ``df`` may be computed from the table itself: the new files are complete before
+    the old ones go.  The swap of several partitions is not one atomic step, so use
+    ``write_version`` where readers cannot pause.
+    """
+    (
+        df.hint("rebalance", *partition_by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .parquet(path)
+    )
+
+
 def stage_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, as the cluster names it.
 

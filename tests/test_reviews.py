@@ -1,0 +1,52 @@
+from datetime import date
+
+import pytest
+from conftest import values
+
+from clinsift import Config, reviews
+
+
+def test_birth_and_treatment_shows_every_state(clinic, cfg):
+    clinic.client(1, birthdate=date(2000, 1, 11), start_date=date(2000, 1, 1))
+    clinic.state(1, start_date=date(2000, 1, 1), end_date=date(2001, 1, 1))  # closed counts too
+    clinic.state(1, start_date=date(2000, 1, 1), state_voided=1)
+    clinic.client(2, birthdate=date(2000, 1, 11), start_date=date(2000, 1, 1), program_id=9)
+    clinic.client(3, birthdate=None, start_date=date(2000, 1, 1))
+    clinic.client(4, birthdate=date(2000, 1, 11), start_date=None)
+    found = reviews.birth_and_treatment(clinic.tables(), cfg)
+    assert values(found, "patient_id", "days_difference") == [(1, -10), (1, -10), (2, -10)]
+
+
+def test_state_review_ignores_the_site(spark, clinic, cfg):
+    clinic.client(1, site=1, start_date=date(1980, 1, 1), patient_voided=1, program_voided=1)
+    clinic.client(1, site=2, start_date=date(1981, 1, 1))
+    clinic.client(2, start_date=date(1982, 1, 1))
+    clinic.state(1, start_date=date(1983, 1, 1), state=3)
+    clinic.state(1, start_date=date(1984, 1, 1), end_date=date(1985, 1, 1))
+    review = spark.createDataFrame([(1,), (1,), (None,)], "patient_id bigint")
+    found = reviews.treatment_states(clinic.tables(), review, cfg)
+    assert values(found, "site_id", "current_wrong_start_date") == [
+        (1, date(1980, 1, 1)),
+        (1, date(1984, 1, 1)),
+        (2, date(1981, 1, 1)),
+    ]
+
+
+def test_pmtct_gap(clinic, cfg):
+    start = date(2019, 1, 1)
+    for number in (1, 2, 3):
+        clinic.client(number, gender="F", start_date=start)
+    clinic.client(4, gender="F", start_date=None)
+    clinic.client(5, gender="M", start_date=start)
+    for number, voided in ((2, 0), (3, 1)):
+        clinic.add(
+            "patient_program", patient_program_id=99, patient_id=number, site_id=1,
+            program_id=3, voided=voided,
+        )
+    found = reviews.not_in_pmtct(clinic.tables(), cfg)
+    assert values(found, "patient_id", "pmtct_program_id") == [(1, None), (3, None)]
+
+
+def test_pmtct_program_must_be_stated(clinic):
+    with pytest.raises(ValueError, match="pmtct_program"):
+        reviews.not_in_pmtct(clinic.tables(), Config())
