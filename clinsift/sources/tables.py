@@ -56,6 +56,7 @@ def read_parquet(
     )
 
 
-def read_catalog(spark: SparkSession, database: str) -> RecordTables:
-    """Read the eight tables of a catalogue database."""
-    return RecordTables(**{t: spark.table(f"{database}.{t}") for t in TABLES})
+def read_catalog(spark: SparkSession, database: str | None = None) -> RecordTables:
+    """Read the eight tables of a catalogue database, or of the current one and its views."""
+    prefix = f"{database}." if database else ""
+    return RecordTables(**{t: spark.table(f"{prefix}{t}") for t in TABLES})
