@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import lru_cache, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -238,8 +238,16 @@ def table_queries() -> dict[str, Query]:
     return {**_rules(), **_reviews(), **_blocks(), **_scans(), **_corrections()}
 
 
+@lru_cache(maxsize=8)
+def _tables(spark: SparkSession, application: str, sf_dir: str) -> RecordTables:
+    """The lazy frames of one folder, analysed once per session; no data is kept."""
+    return record_tables(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def over_test_data(query: Query) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: query(record_tables(spark, sf_dir))
+        return lambda spark, sf_dir: query(
+            _tables(spark, spark.sparkContext.applicationId, sf_dir)
+        )
 
     return {name: over_test_data(query) for name, query in table_queries().items()}

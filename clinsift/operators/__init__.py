@@ -1,7 +1,8 @@
 from clinsift.operators.clients import cohort, persons, prepare_clients
 from clinsift.operators.ids import with_new_ids
-from clinsift.operators.joins import drop_matching, keep_matching, skew_join
+from clinsift.operators.joins import drop_matching, keep_matching, skew_join, within_days
 from clinsift.operators.observations import (
+    answered_observations,
     client_observations,
     label_obs,
     labels,
@@ -11,6 +12,7 @@ from clinsift.operators.observations import (
 )
 
 __all__ = [
+    "answered_observations",
     "client_observations",
     "cohort",
     "drop_matching",
@@ -23,5 +25,6 @@ __all__ = [
     "prepare_clients",
     "skew_join",
     "with_new_ids",
+    "within_days",
     "without_height",
 ]

@@ -41,6 +41,48 @@ def skew_join(
     return dealt.join(copied, on=[*on, _SALT], how=how).drop(_SALT)
 
 
+def within_days(
+    facts: DataFrame,
+    keyed: DataFrame,
+    on: Sequence[str],
+    fact_time: str,
+    keyed_day: str,
+    days: int,
+    spread_by: Sequence[str | Column],
+    salts: int,
+    *,
+    undated: bool,
+) -> DataFrame:
+    """``skew_join`` of pairs at most ``days`` days apart.
+
+    Time is cut into spans as long as the window, and the span becomes a join key: a
+    fact lies in one, the window of a keyed row in two at most.  A client with very many
+    facts and very many dates is then compared within neighbouring spans, not date by
+    fact.  ``undated`` also pairs keyed rows without a date with every fact of the key.
+    """
+    width = 2 * days + 1
+    any_time = -(2**31)  # no real span is that low
+
+    def span(day: Column) -> Column:
+        return F.floor(F.unix_date(day) / F.lit(width)).cast("int")
+
+    day, centre = F.to_date(fact_time), F.to_date(keyed_day)
+    first, last = F.date_sub(centre, days), F.date_add(centre, days)
+    spans = F.sequence(span(first), span(last))
+    if undated:
+        facts = facts.withColumn("_span", F.explode(F.array(span(day), F.lit(any_time))))
+        spans = F.when(centre.isNull(), F.array(F.lit(any_time))).otherwise(spans)
+    else:
+        facts = facts.withColumn("_span", span(day))
+    keyed = keyed.withColumn("_span", F.explode(spans))
+    near = day.between(first, last)
+    return (
+        skew_join(facts, keyed, [*on, "_span"], spread_by, salts)
+        .where(centre.isNull() | near if undated else near)
+        .drop("_span")
+    )
+
+
 def keep_matching(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key occurs in ``keys`` (EXISTS)."""
     return df.join(_key_set(keys, on), on=list(on), how="left_semi")

@@ -14,19 +14,24 @@ from clinsift.operators.joins import drop_matching, present, skew_join
 MEASURES = ("weight", "height_cm", "bmi")
 
 
-def client_observations(
-    obs: DataFrame, clients: DataFrame, answered: Column, concepts: Sequence[int], cfg: Config
-) -> DataFrame:
-    """Live observations of the wanted concepts and answers, of the given clients.
+def answered_observations(obs: DataFrame, answered: Column, concepts: Sequence[int]) -> DataFrame:
+    """Live observations of the wanted concepts and answers, keyed like ``patient``.
 
-    All tests on ``obs`` come before the join, so they reach the scan and only
+    All tests on ``obs`` come before any join, so they reach the scan and only
     candidate rows are shuffled.
     """
-    facts = (
+    return (
         obs.where(live() & F.col("concept_id").isin(*concepts) & answered)
         .withColumnRenamed("person_id", "patient_id")
         .drop("voided")
     )
+
+
+def client_observations(
+    obs: DataFrame, clients: DataFrame, answered: Column, concepts: Sequence[int], cfg: Config
+) -> DataFrame:
+    """Those observations that belong to the given clients, with the clients' columns."""
+    facts = answered_observations(obs, answered, concepts)
     return skew_join(facts, clients, on=CLIENT, spread_by=["obs_id"], salts=cfg.salts)
 
 

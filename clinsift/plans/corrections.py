@@ -95,12 +95,20 @@ def _update(
     )
 
 
+_SITE_LIST_LIMIT = 10_000
+
+
 def at_decided_sites(table: DataFrame, decisions: DataFrame) -> DataFrame:
     """The rows of all sites with decisions.
 
-    On a table stored by site, Spark prunes the other sites' folders at run time.
+    Up to 10,000 sites are listed in the filter, so a table stored by site is read in
+    those folders only and nothing is shuffled; more are matched by a join.
     """
-    return keep_matching(table, decisions, ["site_id"])
+    sites = decisions.select("site_id").where(F.col("site_id").isNotNull()).distinct()
+    listed = [row.site_id for row in sites.limit(_SITE_LIST_LIMIT + 1).collect()]
+    if len(listed) > _SITE_LIST_LIMIT:
+        return keep_matching(table, decisions, ["site_id"])
+    return table.where(F.col("site_id").isin(listed))
 
 
 # --- person ---------------------------------------------------------------------

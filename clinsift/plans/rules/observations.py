@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 
 from clinsift import texts
 from clinsift.functions import age_years, answer_source, fill, has_answer
-from clinsift.operators.clients import cohort
-from clinsift.operators.observations import client_observations, label_obs, latest_per_group
+from clinsift.operators.clients import CLIENT, cohort
+from clinsift.operators.joins import within_days
+from clinsift.operators.observations import (
+    answered_observations,
+    client_observations,
+    label_obs,
+    latest_per_group,
+)
 from clinsift.plans.rules.common import BY_PATIENT, BY_SITE_AND_PATIENT, RuleContext, finding
 from clinsift.sources.tables import RecordTables
 
@@ -118,10 +124,17 @@ def pregnant_at_treatment_start(t: RecordTables, ctx: RuleContext) -> DataFrame:
     )
     answered = has_answer(datetime=True, numeric=not ctx.central, cfg=ctx.cfg)
     day, start = F.to_date("obs_datetime"), F.to_date("start_date")
-    window = ctx.cfg.pregnancy_window_days
-    found = client_observations(
-        t.obs, women, answered, ctx.cfg.pregnancy_questions, ctx.cfg
-    ).where(start.isNull() | day.between(F.date_sub(start, window), F.date_add(start, window)))
+    found = within_days(
+        answered_observations(t.obs, answered, ctx.cfg.pregnancy_questions),
+        women,
+        CLIENT,
+        "obs_datetime",
+        "start_date",
+        ctx.cfg.pregnancy_window_days,
+        spread_by=["obs_id"],
+        salts=ctx.cfg.salts,
+        undated=ctx.central,
+    )
     named = label_obs(found, t.concept_name, ctx.cfg)
 
     first = [

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks.fixture import CONFIG, record_tables
 from clinsift import CENTRAL, DETECTION, run_rule
 from clinsift.config import Config
-from clinsift.operators import skew_join
+from clinsift.operators import skew_join, within_days
 from clinsift.sources import stage
 
 
@@ -58,7 +58,7 @@ def rows(df):
 @pytest.mark.parametrize(
     "name",
     ["r02_visit_after_death", "r04_male_pregnancy", "r05_female_age_range",
-     "r07_peds_missing_vitals", "r10_breastfeeding"],
+     "r07_peds_missing_vitals", "r09_pregnant_at_art_start", "r10_breastfeeding"],
 )
 def test_salting_changes_nothing(spark, skewed, name, variant):
     plain = rows(run_rule(name, skewed, Config(salts=1), as_of=AS_OF, variant=variant))
@@ -109,3 +109,36 @@ def test_large_table_left_join_keeps_rows_without_a_key(spark):
     with pytest.raises(ValueError, match="full"):
         skew_join(facts, names, ["k"], ["obs_id"], 4, how="full")
     assert CONFIG.salts > 1
+
+
+@pytest.mark.parametrize("undated", [True, False])
+def test_window_join_against_all_pairs(spark, undated):
+    """Dates on both sides of the epoch, many per key, some missing."""
+    facts = spark.range(700).select(
+        F.col("id").alias("obs_id"),
+        (F.col("id") % 3).alias("k"),
+        F.when(F.col("id") % 50 != 0, F.expr("date '1969-10-01' + cast(id * 37 % 211 as int)"))
+        .cast("timestamp_ntz")
+        .alias("at"),
+    )
+    keyed = spark.range(60).select(
+        F.col("id").alias("n"),
+        (F.col("id") % 3).alias("k"),
+        F.when(F.col("id") % 20 != 0, F.expr("date '1969-10-01' + cast(id * 13 % 211 as int)"))
+        .alias("day"),
+    )
+    joined = within_days(
+        facts, keyed, ["k"], "at", "day", 30, ["obs_id"], 4, undated=undated
+    )
+    assert joined.columns == ["k", "obs_id", "at", "n", "day"]
+    expected = [
+        (f.obs_id, n.n)
+        for f in facts.collect()
+        for n in keyed.collect()
+        if f.k == n.k
+        and (
+            (n.day is None and undated)
+            or (n.day and f.at and abs((f.at.date() - n.day).days) <= 30)
+        )
+    ]
+    assert sorted((r.obs_id, r.n) for r in joined.collect()) == sorted(expected)
