@@ -32,9 +32,27 @@ def age_years(birthdate: Column, at: Column) -> Column:
     """Completed years between two dates or times, truncated towards zero.
 
     29 February to 28 February counts as not yet completed, which
-    ``months_between / 12`` would get wrong.  NULL if either side is NULL.
+    ``months_between / 12`` would get wrong; ``timestamp_diff`` differs by one year
+    in some cases with a time of day (29 February 8:00 to 1 March 0:00) and for times
+    before birth.  NULL if either side is NULL.
     """
-    return F.timestamp_diff("YEAR", birthdate, at).cast("int")
+    first, second = birthdate.cast("timestamp_ntz"), at.cast("timestamp_ntz")
+    return F.when(second >= first, _elapsed_years(first, second)).when(
+        second < first, -_elapsed_years(second, first)
+    )
+
+
+def _elapsed_years(early: Column, late: Column) -> Column:
+    def day_of_year(t: Column) -> Column:  # 229 is 29 February in every year
+        return F.month(t) * 100 + F.dayofmonth(t)
+
+    def time_of_day(t: Column) -> Column:
+        return t - F.to_date(t).cast("timestamp_ntz")
+
+    not_reached = (day_of_year(late) < day_of_year(early)) | (
+        (day_of_year(late) == day_of_year(early)) & (time_of_day(late) < time_of_day(early))
+    )
+    return F.year(late) - F.year(early) - not_reached.cast("int")
 
 
 def is_text_yes(value_text: Column) -> Column:

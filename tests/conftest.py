@@ -4,6 +4,7 @@ import os
 import sys
 from datetime import date, datetime
 
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -49,13 +50,23 @@ LABELS = [
 ]
 
 
+ARROW = {
+    "bigint": pa.int64(),
+    "int": pa.int32(),
+    "string": pa.string(),
+    "double": pa.float64(),
+    "date": pa.date32(),
+    "timestamp_ntz": pa.timestamp("us"),
+}
+
+
 def frame(spark, table: str, rows: list[dict]):
     """Rows of one table; columns not given are NULL, ``voided`` is 0."""
-    columns = list(SCHEMAS[table])
-    full = [
-        tuple(r.get(c, 0 if c == "voided" else None) for c in columns) for r in rows
-    ]
-    return spark.createDataFrame(full, ddl(SCHEMAS[table]))
+    columns = {
+        c: pa.array([r.get(c, 0 if c == "voided" else None) for r in rows], ARROW[kind])
+        for c, kind in SCHEMAS[table].items()
+    }
+    return spark.createDataFrame(pa.table(columns), ddl(SCHEMAS[table]))
 
 
 class Clinic:

@@ -7,7 +7,7 @@ from conftest import AS_OF, SF
 
 from checks.fixture import CONFIG, record_tables
 from checks.registry import table_queries
-from clinsift import CENTRAL, DETECTION, RULES, read_parquet, run_rule
+from clinsift import CENTRAL, DETECTION, RULES, corrections, read_parquet, run_rule
 from clinsift.sources import TABLES
 
 
@@ -72,3 +72,15 @@ def test_large_sides_are_not_forced_into_a_broadcast(spark, stored):
                 assert "Broadcast" not in plan(query(stored)), name
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_reviewed_decisions_leave_the_large_table_in_place(spark, stored, tmp_path):
+    """Decisions from a file: a broadcast by Spark's own choice, no shuffle of obs."""
+    keys = stored.obs.select("obs_id", "site_id").distinct().limit(50)
+    path = f"{tmp_path}/decisions"
+    keys.selectExpr("*", "50D correct_value", "7L user_id").write.parquet(path)
+    decisions = spark.read.parquet(path)
+    fixed = corrections.set_obs_value(stored.obs, decisions, CONFIG, as_of=AS_OF, site_safe=True)
+    tree = plan(fixed).split("(1) Scan")[0]  # the tree comes before the details of its nodes
+    assert "BroadcastHashJoin LeftOuter BuildRight" in tree
+    assert tree.count("Exchange") == 2  # of the decisions: one per key, one broadcast
