@@ -59,7 +59,9 @@ def _enrolled(
     """Open programme states of live patients, one row per distinct combination.
 
     The ``distinct`` comes before the client tables are joined: a client with very many
-    state rows is reduced on the map side and cannot crowd one task of those joins.
+    state rows is reduced on the map side and cannot crowd one task of those joins.  The
+    first join has exchanges on both sides and another one after it, so adaptive
+    execution can cut a programme number with very many states.
     """
     states = t.patient_state.where(live() & (F.col("state") == state) & F.col("end_date").isNull())
     if require_start:

@@ -40,6 +40,18 @@ def _columns(frame: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return frame.select(*wanted)
 
 
+def _typed(source: str, kind: str) -> Column:
+    """The decided value in the table's type; one that cannot be read stops the job.
+
+    A mistyped date must not erase the old one, whatever the session's ANSI mode.
+    """
+    given, value = F.col(source), F.col(source).try_cast(kind)
+    message = F.concat(F.lit(f"cannot read {source} as {kind}: "), given.cast("string"))
+    return F.when(given.isNull() | value.isNotNull(), value).otherwise(
+        F.raise_error(message).cast(kind)
+    )
+
+
 def _only_one(decisions: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key; a second decision for a key stops the job that meets it.
 
@@ -68,8 +80,7 @@ def _update(
 ) -> DataFrame:
     """Set columns where a decision matches and ``guard`` holds.
 
-    ``values``: table column -> (decision column, type); the new value is cast with
-    ``try_cast``, so an unreadable one becomes NULL instead of ending the job.
+    ``values``: table column -> (decision column, type).
     ``fixed``: table column -> expression.
     """
     sources = [source for source, _ in values.values()]
@@ -78,7 +89,7 @@ def _update(
         *keys,
         "_decided",
         *(
-            F.col(source).try_cast(kind).alias(f"_new_{target}")
+            _typed(source, kind).alias(f"_new_{target}")
             for target, (source, kind) in values.items()
         ),
     )
@@ -275,9 +286,7 @@ def _insert(
     if own_ids:
         values = {"obs_id": ("obs_id", "bigint"), **values}
     chosen = _columns(decisions, [source for source, _ in values.values()])
-    fresh = chosen.select(
-        *(F.col(source).try_cast(kind).alias(c) for c, (source, kind) in values.items())
-    )
+    fresh = chosen.select(*(_typed(source, kind).alias(c) for c, (source, kind) in values.items()))
     keys = ["obs_id", "site_id"] if own_ids else fresh.columns
     fresh = _each_once(fresh, keys).select(
         "*",

@@ -53,7 +53,7 @@ def test_clear_death_of_live_rows(spark, cfg):
     ]
 
 
-def test_birthdate_also_of_voided_rows_and_bad_input(spark, cfg):
+def test_birthdate_also_of_voided_rows(spark, cfg):
     old = date(1990, 1, 1)
     person = people(
         spark,
@@ -62,7 +62,7 @@ def test_birthdate_also_of_voided_rows_and_bad_input(spark, cfg):
         {"person_id": 3, "birthdate": old},
     )
     decisions = spark.createDataFrame(
-        [(1, 1, "1991-02-03"), (2, 1, "no date")], "person_id bigint, site_id int, birthdate string"
+        [(1, 1, "1991-02-03"), (2, 1, None)], "person_id bigint, site_id int, birthdate string"
     )
     fixed = corrections.set_birthdate(person, decisions, cfg)
     assert values(fixed, "person_id", "birthdate") == [
@@ -70,6 +70,20 @@ def test_birthdate_also_of_voided_rows_and_bad_input(spark, cfg):
     ]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_an_unreadable_value_stops_the_job(spark, cfg, ansi):
+    person = people(spark, {"person_id": 1, "birthdate": date(1990, 1, 1)})
+    decisions = spark.createDataFrame(
+        [(1, 1, "3 Feb")], "person_id bigint, site_id int, birthdate string"
+    )
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="cannot read birthdate as date: 3 Feb"):
+            corrections.set_birthdate(person, decisions, cfg).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_gender_female(spark, cfg):
     person = people(
         spark, {"person_id": 1, "gender": "M"}, {"person_id": 2, "gender": "M", "voided": 1}
