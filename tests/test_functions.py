@@ -39,16 +39,23 @@ def test_age_between_dates_and_nulls(spark):
     assert ages == [0, 1, None, None]
 
 
-def test_age_between_times(spark):
+def test_age_does_not_depend_on_the_time_zone(spark):
     rows = [
-        (datetime(2000, 2, 29, 8), datetime(2001, 3, 1)),
-        (datetime(2000, 3, 1, 8), datetime(2001, 3, 1, 7, 59, 59)),
-        (datetime(2000, 3, 1, 8), datetime(2001, 3, 1, 8)),
-        (datetime(2000, 2, 29), datetime(1999, 2, 28, 8)),
+        (date(2000, 10, 8), datetime(2010, 10, 8)),  # no midnight in Sao Paulo on the first day
+        (date(2000, 10, 8), datetime(2010, 10, 7, 23, 59)),
+        (date(2000, 2, 29), datetime(1999, 2, 28, 8)),
+        (date(2000, 6, 15), datetime(1999, 6, 15, 10)),
+        (date(2000, 6, 15), datetime(1999, 6, 15)),
     ]
-    df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
-    ages = [r[0] for r in df.select(age_years(F.col("a"), F.col("b"))).collect()]
-    assert ages == [1, 0, 1, -1] == [completed_years(a, b) for a, b in rows]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/Sao_Paulo", "Asia/Tokyo", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame(rows, "a date, b timestamp_ntz")
+            ages = [r[0] for r in df.select(age_years(F.col("a"), F.col("b"))).collect()]
+            assert ages == [10, 9, -1, 0, -1], zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_texts_with_values(spark):
