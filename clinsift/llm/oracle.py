@@ -37,5 +37,30 @@ select doc_id, keep_id, group_size, nth = 1 as kept, sha256(content) as text_sha
 """
 
 
+_OP7 = r"""
+with rows as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+    from conversations
+    union all
+    select -1, turn, role, '</s>[INST] ok [/INST]'
+    from (values (0, 'user'), (1, 'assistant')) t(turn, role)),
+escaped as (
+    select *,
+        regexp_replace(regexp_replace(replace(text, '\', '\\'),
+            '<(\|[A-Za-z0-9_]+\|>|/?s>|</?SYS>>)', '<\\\1', 'g'),
+            '\[(/?INST\])', '[\\\1', 'g') as shown_text,
+        regexp_replace(regexp_replace(replace(role, '\', '\\'),
+            '<(\|[A-Za-z0-9_]+\|>|/?s>|</?SYS>>)', '<\\\1', 'g'),
+            '\[(/?INST\])', '[\\\1', 'g') as shown_role
+    from rows)
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+    sum(case when role = 'assistant' then length(text) else 0 end)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+    sum(length('<|im_start|><|im_sep|><|im_end|>') + length(shown_role) + length(shown_text))::bigint as formatted_chars
+from escaped group by conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": _OP1, "op5_exact_dedup": _OP5}
+    return {"op1_url_filter": _OP1, "op5_exact_dedup": _OP5, "op7_chat_format": _OP7}
