@@ -24,6 +24,25 @@ select page_id, host, path, rule,
 from ruled
 """
 
+_OP3 = r"""
+with docs as (
+    select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as w from documents),
+items as (
+    select item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as w
+    from benchmark),
+dw as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as at from docs),
+iw as (
+    select item_id, len(w) as n, unnest(w) as word, generate_subscripts(w, 1) as at
+    from items where len(w) >= 5),
+hits as (
+    select doc_id, item_id, least(n, 13) as size, iw.at as place,
+        count(*) over (partition by doc_id, item_id, dw.at - iw.at order by iw.at
+            range between current row and 12 following) as matched
+    from dw join iw using (word)),
+kept as (select * from hits where matched >= ceil(size * 0.8 - 1e-9))
+select doc_id, item_id, max(matched) as matched, max(size) as size from kept group by doc_id, item_id
+"""
+
 _OP5 = r"""
 with rows as (
     select doc_id, length(coalesce(text, '')) as points,
@@ -63,4 +82,4 @@ from escaped group by conv_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": _OP1, "op5_exact_dedup": _OP5, "op7_chat_format": _OP7}
+    return {"op1_url_filter": _OP1, "op3_decontaminate": _OP3, "op5_exact_dedup": _OP5, "op7_chat_format": _OP7}

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinsift.llm.chat import fold, formatted, masked_text, render, turns
+from clinsift.llm.decontaminate import overlaps
 from clinsift.llm.exact_dedup import exact_groups
 from clinsift.llm.quality import rank_quality
 from clinsift.llm.simhash import simhash_groups
@@ -42,6 +43,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -96,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             op1_url_filter,
             op2_simhash,
+            op3_decontaminate,
             op4_quality,
             op5_exact_dedup,
             op7_chat_format,
