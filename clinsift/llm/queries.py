@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clinsift.llm.chat import fold, formatted, masked_text, render, turns
 from clinsift.llm.decontaminate import overlaps
 from clinsift.llm.exact_dedup import exact_groups
+from clinsift.llm.piece_scan import decode, encode
 from clinsift.llm.quality import rank_quality
 from clinsift.llm.simhash import simhash_groups
 from clinsift.llm.token_files import read_token_files, token_folder, write_token_files
@@ -95,6 +96,18 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(docs, token_folder(spark), vocabulary, end=2))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    back = decode(encode(_table(spark, sf_dir, "documents"), model), model)
+    shown = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        F.sha2(shown, 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -106,5 +119,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op5_exact_dedup,
             op7_chat_format,
             op8_token_files,
+            op10_sentencepiece,
         )
     }

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from clinsift.llm.decontaminate import keep_clean
 from clinsift.llm.exact_dedup import keep_first
+from clinsift.llm.piece_scan import decode, encode
 from clinsift.llm.quality import keep_good
 from clinsift.llm.simhash import keep_representatives
 from clinsift.llm.staging import staged
@@ -27,10 +31,28 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_representatives(docs)
 
 
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, ids, n_ids`` and the digest of the text read back from the ids."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return decode(encode(docs, model), model).select(
+        "doc_id",
+        "ids",
+        F.size("ids").cast("long").alias("n_ids"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality", quality),
     ("exact_copies", exact_copies),
     ("near_copies", near_copies),
+    ("benchmark_leaks", benchmark_leaks),
+    ("token_ids", token_ids),
 ]
 
 ORACLE_SQL = None  # the classifier and the fingerprints cannot be expressed in SQL
