@@ -12,6 +12,7 @@ from clinsift.llm.chat import fold, formatted, masked_text, render, turns
 from clinsift.llm.decontaminate import overlaps
 from clinsift.llm.exact_dedup import exact_groups
 from clinsift.llm.piece_scan import decode, encode
+from clinsift.llm.pii import KINDS, all_spans, find_pii, listed
 from clinsift.llm.quality import rank_quality
 from clinsift.llm.simhash import simhash_groups
 from clinsift.llm.token_files import read_token_files, token_folder, write_token_files
@@ -56,6 +57,17 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(_table(spark, sf_dir, "documents"))
+    count = lambda n: F.size(F.filter("base", lambda s: s["kind"] == n)).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(n).alias(f"n_{kind}") for n, kind in enumerate(KINDS[:-1])),
+        F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(all_spans(F.col("base"), F.col("terms"))).alias("spans"),
+    )
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     attack = spark.range(2).select(
@@ -117,6 +129,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op3_decontaminate,
             op4_quality,
             op5_exact_dedup,
+            op6_pii,
             op7_chat_format,
             op8_token_files,
             op10_sentencepiece,
