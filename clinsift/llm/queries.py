@@ -15,6 +15,7 @@ from clinsift.llm.piece_scan import decode, encode
 from clinsift.llm.pii import KINDS, all_spans, find_pii, listed
 from clinsift.llm.quality import rank_quality
 from clinsift.llm.simhash import simhash_groups
+from clinsift.llm.suffix_dedup import remove_repeats
 from clinsift.llm.token_files import read_token_files, token_folder, write_token_files
 from clinsift.llm.url_filter import ALLOW, BLOCKED, Rule, judge_urls
 
@@ -108,6 +109,13 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(docs, token_folder(spark), vocabulary, end=2))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(_table(spark, sf_dir, "documents"), length=50)
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     back = decode(encode(_table(spark, sf_dir, "documents"), model), model)
@@ -132,6 +140,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op6_pii,
             op7_chat_format,
             op8_token_files,
+            op9_suffix_dedup,
             op10_sentencepiece,
         )
     }
