@@ -42,20 +42,15 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _keys(words: Column, at: Column) -> Column:
-    """One hash per mask of the words from ``at`` on."""
-    return F.array(
-        *(
-            F.xxhash64(F.lit(n), *(F.get(words, at + k) for k in mask))
-            for n, mask in enumerate(MASKS)
-        )
-    )
-
-
 def _positions(texts: DataFrame) -> DataFrame:
-    """A row per position and mask, with the words alongside."""
-    placed = texts.select("id", "w", F.posexplode("w").alias("at", "_"))
-    return placed.select("id", "w", "at", F.explode(_keys(F.col("w"), F.col("at"))).alias("key"))
+    """A row per position and mask: its hash, with the words alongside."""
+    placed = texts.select("id", "w", F.posexplode_outer("w").alias("at", "_"))
+    # neighbours are read once each, which keeps the generated loop small enough to be compiled
+    five = placed.select(
+        "id", "w", "at", *(F.get("w", F.col("at") + k).alias(f"w{k}") for k in range(SPAN))
+    )
+    keys = (F.xxhash64(F.lit(n), *(f"w{k}" for k in mask)) for n, mask in enumerate(MASKS))
+    return five.select("id", "w", "at", F.explode(F.array(*keys)).alias("key"))
 
 
 def seeds(benchmark: DataFrame, window: int, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -77,10 +72,11 @@ def seeds(benchmark: DataFrame, window: int, id_col: str = "item_id", text_col:
     )
 
 
-def _best(words: Column, first: Column) -> Column:
-    """Most agreeing words in any window of ``ctx`` laid on the document from ``first`` on."""
+def _best() -> Column:
+    """Most agreeing words in any window of ``ctx`` laid on ``here``, from ``lead`` on."""
     same = F.transform(
-        "ctx", lambda x, k: F.coalesce((F.get(words, first + k) == x).cast("int"), F.lit(0))
+        "ctx",
+        lambda x, k: F.coalesce((F.get("here", F.col("lead") + k) == x).cast("int"), F.lit(0)),
     )
     total = lambda part: F.aggregate(part, F.lit(0), lambda a, b: a + b)
     sums = F.transform(
@@ -107,19 +103,26 @@ def overlaps(
     wanted = staged(seeds(benchmark, window, item_id_col, item_text_col), "seeds")
     blocks = max(1, -(-wanted.count() // block))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), word_hashes(F.col(text_col)).alias("w"))
+    first = F.col("at") - F.col("off")  # where the words around the seed begin in the document
     found = []
     for n in range(blocks):
         some = wanted.where(F.pmod(F.xxhash64("key", "item_id", "off", "ctx"), F.lit(blocks)) == n)
         hits = _positions(texts).join(F.broadcast(some), "key")
-        best = hits.select(
-            F.col("id").alias("doc_id"),
-            "item_id",
-            "size",
-            _best(F.col("w"), F.col("at") - F.col("off")).alias("matched"),
+        found.append(
+            hits.select(
+                F.col("id").alias("doc_id"),
+                "item_id",
+                "size",
+                "ctx",
+                F.slice("w", F.greatest(first, F.lit(0)) + 1, F.size("ctx")).alias("here"),
+                F.least(first, F.lit(0)).alias("lead"),
+            )
         )
-        found.append(best.where(F.col("matched") >= F.ceil(F.col("size") * F.lit(similarity) - 1e-9)))
+    # written, so that the words of a whole document go no further than the join
+    hits = staged(reduce(DataFrame.union, found), "hits")
     return (
-        reduce(DataFrame.union, found)
+        hits.select("doc_id", "item_id", "size", _best().alias("matched"))
+        .where(F.col("matched") >= F.ceil(F.col("size") * F.lit(similarity) - 1e-9))
         .groupBy("doc_id", "item_id")
         .agg(F.max("matched").alias("matched"), F.max("size").alias("size"))
     )
