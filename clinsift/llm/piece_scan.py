@@ -39,15 +39,14 @@ from pyspark.sql import functions as F
 from clinsift.llm.staging import staged
 
 MARK = "▁"
-CHUNK = 16_384
+CHUNK = 65_536
 FAN = 64
 FLOOR = -1e6
 _UNKNOWN = -50_000  # no choice depends on it: such a character is in no piece
 _SCALE = 1 << 30  # scores come before cut weights
-_NONE = (-1, _UNKNOWN * _SCALE)
 _LOW = -(1 << 200)
 _NEVER = np.int64(-(1 << 61))
-_WORDS = 500_000  # words remembered by one worker, some 150 MB
+_WORDS = 800_000  # words remembered by one worker, some 200 MB
 _CUTS = [int(x) for x in np.random.default_rng(11).integers(1, 1 << 14, 4096)]
 
 
@@ -77,11 +76,17 @@ class Pieces:
         if any(MARK in p[1:] for p in self.pieces):
             raise ValueError("a piece has the word mark inside")
         self.longest = max(map(len, self.pieces), default=1)
-        # what a string is: (id, score) of a piece, None for the beginning of one
-        self.steps: dict[str, tuple[int, int] | None] = {
-            p[:k]: None for p in self.pieces for k in range(1, len(p) + 1)
-        }
-        self.steps |= self.pieces
+        # a trie: character -> (next level, id, score), id and score None inside pieces only
+        self.root: dict[str, tuple[dict, int | None, int | None]] = {}
+        for piece, (i, score) in self.pieces.items():
+            level = self.root
+            for char in piece[:-1]:
+                level = level.setdefault(char, ({}, None, None))[0]
+            below = level.get(piece[-1], ({}, None, None))[0]
+            level[piece[-1]] = (below, i, score)
+        self.shown = np.array([*self.shown, None], object)[:-1]
+        # neighbours that some piece holds together; between any others there is a cut
+        self.joined = {p[k : k + 2] for p in self.pieces for k in range(len(p) - 1)}
         self._words: dict[str, bytes] = {}
 
     def forward(
@@ -93,52 +98,53 @@ class Pieces:
         value: list[int | None] = [None] * (stop + 1)
         back: list[tuple[int, int] | None] = [None] * (stop + 1)
         value[start] = 0
-        get, longest = self.steps.get, self.longest
         for i in range(start, min(last, stop)):
             base = value[i]
             if base is None:
                 continue
-            for j in range(i + 1, min(stop, i + longest) + 1):
-                step = get(text[i:j], _NONE)
+            level = self.root
+            for j in range(i, stop):
+                step = level.get(text[j])
                 if step is None:
-                    if j > i + 1 or text[i] in self.pieces:
-                        continue
-                    step = _NONE
-                elif step is _NONE and j > i + 1:
-                    break
-                new = base + step[1] - _CUTS[(lead + j) & 4095]
-                if value[j] is None or new > value[j]:
-                    value[j], back[j] = new, (i, step[0])
-                if step is _NONE and text[i:j] not in self.steps:
                     break
+                level, piece, score = step
+                if piece is not None:
+                    new = base + score - _CUTS[(lead + j + 1) & 4095]
+                    if value[j + 1] is None or new > value[j + 1]:
+                        value[j + 1], back[j + 1] = new, (i, piece)
+            if text[i] not in self.pieces:
+                new = base + _UNKNOWN * _SCALE - _CUTS[(lead + i + 1) & 4095]
+                if value[i + 1] is None or new > value[i + 1]:
+                    value[i + 1], back[i + 1] = new, (i, -1)
         return value, back
 
     def _solve(self, unit: str) -> bytes:
         """Ids of one word with its mark: ``trace`` for the case where every place is reached."""
         n = len(unit)
-        value, back = [0] + [_LOW] * n, [(0, 0)] * (n + 1)
-        get, longest, cuts = self.steps.get, self.longest, _CUTS
+        value, begin, how = [0] + [_LOW] * n, [0] * (n + 1), [0] * (n + 1)
+        root, cuts, pieces = self.root, _CUTS, self.pieces
         for i in range(n):
-            base = value[i]
-            for j in range(i + 1, min(n, i + longest) + 1):
-                step = get(unit[i:j], _NONE)
+            base, level, j = value[i], root, i
+            for char in unit[i:]:
+                step = level.get(char)
                 if step is None:
-                    continue
-                if step is _NONE:
                     break
-                new = base + step[1] - cuts[j & 4095]
-                if new > value[j]:
-                    value[j], back[j] = new, (i, step[0])
-            if unit[i] not in self.pieces:
-                new = base + _NONE[1] - cuts[(i + 1) & 4095]
+                level, piece, score = step
+                j += 1
+                if piece is not None:
+                    new = base + score - cuts[j & 4095]
+                    if new > value[j]:
+                        value[j], begin[j], how[j] = new, i, piece
+            if j == i or unit[i] not in pieces:
+                new = base + _UNKNOWN * _SCALE - cuts[(i + 1) & 4095]
                 if new > value[i + 1]:
-                    value[i + 1], back[i + 1] = new, (i, -1)
+                    value[i + 1], begin[i + 1], how[i + 1] = new, i, -1
         ids: list[int] = []
         at = n
         while at:
-            before, piece = back[at]
-            if piece >= 0:
-                ids.append(piece)
+            before = begin[at]
+            if how[at] >= 0:
+                ids.append(how[at])
             else:
                 ids.extend(self.bytes[b] for b in reversed(unit[before:at].encode()))
             at = before
@@ -161,7 +167,13 @@ class Pieces:
         if len(known) > _WORDS:
             known.clear()
         for word in set(words).difference(known):
-            known[word] = self._solve(MARK + word)
+            if len(word) > 1 and word[-2:] not in self.joined:  # often a comma: the rest may be known
+                rest = known.get(word[:-1])
+                if rest is None:
+                    rest = known[word[:-1]] = self._solve(MARK + word[:-1])
+                known[word] = rest + self._solve(word[-1])
+            else:
+                known[word] = self._solve(MARK + word)
         return b"".join(map(known.__getitem__, words))
 
     def encode(self, text: str) -> bytes:
@@ -208,8 +220,8 @@ class Pieces:
         middle = self.words(chunk[first + 1 : final].split(MARK)) if final > first else b""
         return head + middle + pack(self.trace(text, final, n + leave, n, -final))
 
-    def decode(self, ids: list[int]) -> str:
-        raw = b"".join(map(self.shown.__getitem__, ids))
+    def decode(self, ids: pa.Array | None) -> str:
+        raw = b"".join(self.shown[ids.to_numpy()].tolist()) if ids is not None and len(ids) else b""
         return raw[1:].decode("utf-8", "replace") if raw[:1] == b" " else raw.decode("utf-8", "replace")
 
 
@@ -391,7 +403,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                texts = [pieces.decode(ids) for ids in some.column(1).to_pylist()]
+                texts = [pieces.decode(ids.values) for ids in some.column(1)]
                 yield pa.RecordBatch.from_arrays(
                     [*some.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"]
                 )
