@@ -95,8 +95,8 @@ where s.state = {state} and s.voided = 0 and s.end_date is null
 
 YES = "(o.value_coded = 1065 or lower(trim(o.value_text)) = 'yes')"
 SOURCE = (
-    f"case when o.value_coded = 1065 then '{tx.CODED_YES}'"
-    f" when lower(trim(o.value_text)) = 'yes' then '{tx.TEXT_YES}' end"
+    f"coalesce(if(o.value_coded = 1065, '{tx.CODED_YES}', null),"
+    f" if(lower(trim(o.value_text)) = 'yes', '{tx.TEXT_YES}', null))"
 )
 MATERNAL = "(6131, 7965, 1755, 5632, 5630, 490, 1053)"
 LABELLED = """
@@ -494,9 +494,9 @@ select e.encounter_id, e.site_id, h.birthdate, e.encounter_datetime,
 from encounter e join person h on h.person_id = e.patient_id and h.site_id = e.site_id"""),
         "b6_measure_pivot": query("""
 select encounter_id, site_id,
-  max(case when concept_id = 5089 then value_numeric end) as weight,
-  max(case when concept_id = 5090 then value_numeric end) as height_cm,
-  max(case when concept_id = 2137 then value_numeric end) as bmi
+  max(value_numeric) filter (where concept_id = 5089) as weight,
+  max(value_numeric) filter (where concept_id = 5090) as height_cm,
+  max(value_numeric) filter (where concept_id = 2137) as bmi
 from obs where voided = 0 and concept_id in (5089, 5090, 2137)
 group by encounter_id, site_id"""),
         "b7_latest_obs": query("""
@@ -554,6 +554,23 @@ from decisions""",
     )
 
 
+def _inserted_with_ids(decisions: str, key: str) -> str:
+    """The observations and a row per decision whose own id its site does not have yet."""
+    return query(
+        f"""
+select * from obs
+union all by name
+select * from (
+  select coalesce(if(d.{key} % 7 = 0, k.taken, null), d.{key} + 1000000000000000) as obs_id, d.*
+  from decisions d left join (
+    select {key}, site_id, min(obs_id) as taken from obs
+    where {key} is not null group by {key}, site_id) k
+  on k.{key} = d.{key} and k.site_id = d.site_id) n
+where not exists (select 1 from obs o where o.obs_id = n.obs_id and o.site_id = n.site_id)""",
+        decisions=decisions,
+    )
+
+
 def _corrections() -> dict[str, str]:
     void = {"voided": "1", "voided_by": "d.user_id", "date_voided": TODAY}
     r02, r03, r05 = _r02(True), _r03(True), _r05(True)
@@ -564,6 +581,30 @@ join men c on c.patient_id = o.person_id and c.site_id = o.site_id
 where o.voided = 0 and o.concept_id in {MATERNAL} and {YES}"""
     audit = f"cast(7 as bigint) as creator, {{}} {TODAY} as date_created, 0 as voided"
     height = audit.format("cast(5090 as int) as concept_id,")
+
+    def heights(found: str) -> str:
+        return (
+            f"select distinct patient_id as person_id, cast({TODAY} as timestamp) as obs_datetime,"
+            f" site_id as site_id, cast(150 as double) as value_numeric, {height} from ({found})"
+        )
+
+    at_visits = (
+        "select distinct patient_id as person_id, visit_date as obs_datetime,"
+        " encounter_id as encounter_id, site_id as site_id,"
+        f" cast(120 as double) as value_numeric, {height}"
+        f" from ({_r07(False)}) where height_cm is null"
+    )
+    last_visit = """join (
+  select * from encounter where voided = 0
+  qualify row_number() over (partition by patient_id, site_id
+    order by encounter_datetime desc, encounter_id) = 1) e
+  on e.patient_id = f.patient_id and e.site_id = f.site_id"""
+    no_breastfeeding = (
+        f"select distinct f.patient_id as person_id, cast({TODAY} as timestamp) as obs_datetime,"
+        " e.encounter_id as encounter_id, f.site_id as site_id, "
+        + audit.format("cast(7965 as int) as concept_id, cast(1066 as int) as value_coded,")
+        + f" from ({_r10(True)}) f {last_visit}"
+    )
     return {
         "c01_normalise_gender": query("""
 select * replace (case
@@ -651,29 +692,19 @@ from person"""),
             )
             for suffix, keys in (("", "obs_id"), ("_site_safe", "obs_id site_id"))
         },
-        "c07b_insert_height": _inserted(
-            f"select distinct patient_id as person_id, cast({TODAY} as timestamp) as obs_datetime,"
-            f" site_id as site_id, cast(150 as double) as value_numeric, {height}"
-            f" from ({_r08(True)})"
-        ),
-        "c08_insert_height_visit": _inserted(
-            "select distinct patient_id as person_id, visit_date as obs_datetime,"
-            " encounter_id as encounter_id, site_id as site_id,"
-            f" cast(120 as double) as value_numeric, {height}"
-            f" from ({_r07(False)}) where height_cm is null"
-        ),
-        "c10_insert_bf_no": _inserted(
-            f"select distinct f.patient_id as person_id, cast({TODAY} as timestamp) as obs_datetime,"
-            " e.encounter_id as encounter_id, f.site_id as site_id, "
-            + audit.format(
-                "cast(7965 as int) as concept_id, cast(1066 as int) as value_coded,"
-            )
-            + f""" from ({_r10(True)}) f join (
-  select * from encounter where voided = 0
-  qualify row_number() over (partition by patient_id, site_id
-    order by encounter_datetime desc, encounter_id) = 1) e
-  on e.patient_id = f.patient_id and e.site_id = f.site_id"""
+        "c07b_insert_height": _inserted(heights(_r08(True))),
+        "c07b_insert_height_own_ids": _inserted_with_ids(heights(_r08(True)), "person_id"),
+        "c07b_insert_height_children": _inserted(heights(_r07(True))),
+        "c08_insert_height_visit": _inserted(at_visits),
+        "c08_insert_height_visit_own_ids": _inserted_with_ids(at_visits, "encounter_id"),
+        "c08_insert_height_adults": _inserted(
+            "select distinct f.patient_id as person_id, e.encounter_datetime as obs_datetime,"
+            " e.encounter_id as encounter_id, f.site_id as site_id,"
+            f" cast(150 as double) as value_numeric, {height}"
+            f" from ({_r08(True)}) f {last_visit}"
         ),
+        "c10_insert_bf_no": _inserted(no_breastfeeding),
+        "c10_insert_bf_no_own_ids": _inserted_with_ids(no_breastfeeding, "person_id"),
     }
 
 

@@ -23,7 +23,10 @@ from clinsift.operators import (
     without_height,
 )
 from clinsift.operators.clients import CLIENT, live
-from clinsift.sources import TABLES
+from clinsift.operators.joins import present
+from clinsift.sources import TABLES, read_catalog
+
+OWN_IDS = 10**15  # above every id of the fixture
 
 Query = Callable[[RecordTables], DataFrame]
 
@@ -32,6 +35,17 @@ def _user() -> Column:
     return F.lit(7).alias("user_id")
 
 
+def _with_own_ids(t: RecordTables, decisions: DataFrame, key: str, obs_key: str) -> DataFrame:
+    """Decisions that bring ids; every seventh one, if it can, an id that the table has."""
+    ids = present(t.obs, [obs_key]).groupBy(F.col(obs_key).alias(key), "site_id").agg(
+        F.min("obs_id").alias("taken")
+    )
+    old = F.when(F.col(key) % 7 == 0, F.col("taken"))
+    return decisions.join(ids, [key, "site_id"], "left").select(
+        *decisions.columns, F.coalesce(old, F.col(key) + OWN_IDS).alias("obs_id")
+    )
+
+
 def rule(
     name: str, variant: Variant, site_safe: bool = False
 ) -> Callable[[RecordTables], DataFrame]:
@@ -118,7 +132,12 @@ def _blocks() -> dict[str, Query]:
 
 def _scans() -> dict[str, Query]:
     def scan(table: str) -> Query:
-        return lambda t: getattr(t, table)
+        def through_the_catalogue(t: RecordTables) -> DataFrame:
+            for name in TABLES:
+                getattr(t, name).createOrReplaceTempView(name)
+            return getattr(read_catalog(t.person.sparkSession), table)
+
+        return through_the_catalogue
 
     # not concept_name: the fixture states its few rows, they do not come from the data
     grown = [table for table in TABLES if table != "concept_name"]
@@ -184,14 +203,26 @@ def _corrections() -> dict[str, Query]:
             t.obs, decisions, CONFIG, as_of=AS_OF, site_safe=site_safe
         )
 
-    def height(t: RecordTables) -> DataFrame:
-        found = rule("r08_adult_no_height", CENTRAL)(t).select(*CLIENT).distinct()
+    def height(t: RecordTables, name: str = "r08_adult_no_height", own_ids: bool = False) -> DataFrame:
+        found = rule(name, CENTRAL)(t).select(*CLIENT).distinct()
         decisions = found.select(
             "*", F.lit(AS_OF).alias("visit_date"), F.lit(150.0).alias("height_value"), _user()
         )
+        if own_ids:
+            decisions = _with_own_ids(t, decisions, "patient_id", "person_id")
         return corrections.insert_height(t.obs, decisions, CONFIG, as_of=AS_OF)
 
-    def height_at_visit(t: RecordTables) -> DataFrame:
+    def height_at_last_visit(t: RecordTables) -> DataFrame:
+        """Adults without a height, at their latest visit."""
+        found = rule("r08_adult_no_height", CENTRAL)(t).select(*CLIENT).distinct()
+        visits = t.encounter.where(live()).select(*CLIENT, "encounter_id", "encounter_datetime")
+        last = latest_per_group(visits, CLIENT, "encounter_datetime", ["encounter_id"])
+        decisions = found.join(last, CLIENT).select(
+            *CLIENT, "encounter_id", "encounter_datetime", F.lit(150.0).alias("height_in_cm"), _user()
+        )
+        return corrections.insert_height_at_visit(t.obs, decisions, CONFIG, as_of=AS_OF)
+
+    def height_at_visit(t: RecordTables, own_ids: bool = False) -> DataFrame:
         found = rule("r07_peds_missing_vitals", DETECTION)(t).where(F.col("height_cm").isNull())
         decisions = found.select(
             *CLIENT,
@@ -200,15 +231,19 @@ def _corrections() -> dict[str, Query]:
             F.lit(120.0).alias("height_in_cm"),
             _user(),
         ).distinct()
+        if own_ids:
+            decisions = _with_own_ids(t, decisions, "encounter_id", "encounter_id")
         return corrections.insert_height_at_visit(t.obs, decisions, CONFIG, as_of=AS_OF)
 
-    def breastfeeding_no(t: RecordTables) -> DataFrame:
+    def breastfeeding_no(t: RecordTables, own_ids: bool = False) -> DataFrame:
         found = rule("r10_breastfeeding", CENTRAL)(t).select(*CLIENT).distinct()
         visits = t.encounter.where(live()).select(*CLIENT, "encounter_id", "encounter_datetime")
         last = latest_per_group(visits, CLIENT, "encounter_datetime", ["encounter_id"])
         decisions = found.join(last, CLIENT).select(
             *CLIENT, "encounter_id", F.lit(AS_OF).cast("timestamp_ntz").alias("current_encounter_datetime"), _user()
         )
+        if own_ids:
+            decisions = _with_own_ids(t, decisions, "patient_id", "person_id")
         return corrections.insert_breastfeeding_no(t.obs, decisions, CONFIG, as_of=AS_OF)
 
     return {
@@ -230,6 +265,12 @@ def _corrections() -> dict[str, Query]:
         "c07b_insert_height": height,
         "c08_insert_height_visit": height_at_visit,
         "c10_insert_bf_no": breastfeeding_no,
+        "c07b_insert_height_own_ids": partial(height, own_ids=True),
+        "c08_insert_height_visit_own_ids": partial(height_at_visit, own_ids=True),
+        "c10_insert_bf_no_own_ids": partial(breastfeeding_no, own_ids=True),
+        # the other of the two height rules
+        "c07b_insert_height_children": partial(height, name="r07_peds_missing_vitals"),
+        "c08_insert_height_adults": height_at_last_visit,
     }
 
 

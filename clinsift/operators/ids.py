@@ -21,14 +21,18 @@ def with_new_ids(rows: DataFrame, table: DataFrame, id_column: str) -> DataFrame
     digested = rows.withColumn("_digest", F.md5(content)).withColumn(
         "_bucket", F.substring("_digest", 1, _BUCKET_DIGITS)
     )
-    numbered = digested.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_bucket").orderBy("_digest", *columns))
+    # ranks and bucket sizes from the same window, so the rows are computed and sent once
+    by_bucket = Window.partitionBy("_bucket")
+    numbered = digested.select(
+        "*",
+        F.row_number().over(by_bucket.orderBy("_digest", *columns)).alias("_rank"),
+        F.count(F.lit(1)).over(by_bucket).alias("_rows"),
     )
 
     bucket_order = Window.partitionBy(F.lit(0)).orderBy("_bucket")  # at most 4096 rows
     starts = (
-        digested.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        numbered.where("_rank = 1")
+        .select("_bucket", "_rows")
         .select("_bucket", (F.sum("_rows").over(bucket_order) - F.col("_rows")).alias("_start"))
     )
 

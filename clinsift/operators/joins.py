@@ -29,15 +29,20 @@ def skew_join(
     join's partitioning, and both join inputs get an exchange of their own - the shape
     adaptive execution needs to cut what is still a skewed partition into pieces.
 
-    No broadcast is asked for: Spark takes one where the small side is known to be
-    under ``spark.sql.autoBroadcastJoinThreshold``, at planning or at run time.
+    No broadcast is asked for: Spark takes one where all copies of the small side are
+    known to be under ``spark.sql.autoBroadcastJoinThreshold``, at planning or at run time.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join cannot do a {how} join")
     if salts < 2:
         return facts.join(keyed, on=list(on), how=how)
     dealt = facts.withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    copied = keyed.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # every copy is a column before it is a row, so Spark's size estimate counts all of them
+    copies = [
+        F.struct(*keyed.columns, F.lit(n).alias(_SALT)).alias(f"_copy_{n}") for n in range(salts)
+    ]
+    names = [f"_copy_{n}" for n in range(salts)]
+    copied = keyed.select(*copies).select(F.inline(F.array(*names)))
     return dealt.join(copied, on=[*on, _SALT], how=how).drop(_SALT)
 
 

@@ -5,10 +5,12 @@ returns the whole table with the decisions applied; write it with
 ``sources.write_version``.  Updates keep the number of rows and can be repeated with
 the same result.
 
-On a large table this need not mean rewriting all of it.  Updates take any part of the
-table: ``at_decided_sites`` picks the sites that have decisions, and
-``sources.replace_partitions`` swaps just those.  Inserts with ``only_new`` return the
-rows to append.
+On a large table this need not mean rewriting all of it.  Updates also take the part of
+a table that ``at_sites`` (sites named by the caller) or ``at_decided_sites`` (sites that have
+decisions) picks, and ``sources.replace_partitions`` swaps just those sites.  A part is
+corrected as the whole table would be there: an update whose key lacks the site can
+change rows of any site, so it refuses a part.  Inserts with ``only_new`` return the rows to
+append.
 
 Decisions are best read from the file they were reviewed in.  Spark then knows their
 size and broadcasts them if they are under ``spark.sql.autoBroadcastJoinThreshold``,
@@ -19,6 +21,7 @@ shuffle on the table's own key, which no row shares with many others.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -33,6 +36,23 @@ from clinsift.operators.joins import drop_matching, keep_matching, present
 from clinsift.sources.schemas import require_columns
 
 
+@dataclass(frozen=True)
+class SitePart:
+    """All rows that a table has for some sites."""
+
+    rows: DataFrame
+
+
+def _rows(table: DataFrame | SitePart, keys: Sequence[str]) -> DataFrame:
+    if not isinstance(table, SitePart):
+        return table
+    if "site_id" not in keys:
+        raise ValueError(
+            f"a correction matched by {list(keys)} reaches other sites too: give it the whole table"
+        )
+    return table.rows
+
+
 def _columns(frame: DataFrame, wanted: Sequence[str]) -> DataFrame:
     missing = [c for c in wanted if c not in frame.columns]
     if missing:
@@ -71,18 +91,25 @@ def _only_one(decisions: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _update(
-    table: DataFrame,
+    table: DataFrame | SitePart,
     decisions: DataFrame,
     keys: Sequence[str],
     values: Mapping[str, tuple[str, str]],
     fixed: Mapping[str, Column],
     guard: Column | None = None,
+    audited: str | None = None,
 ) -> DataFrame:
     """Set columns where a decision matches and ``guard`` holds.
 
-    ``values``: table column -> (decision column, type).
+    ``values``: table column -> (decision column, type); no type: the table's own.
     ``fixed``: table column -> expression.
+    ``audited``: the table's name, if its audit columns are written.
     """
+    table = _rows(table, keys)
+    if audited:
+        require_columns(table, audited, audit=True)
+    kinds = dict(table.dtypes)
+    values = {c: (source, kind or kinds[c]) for c, (source, kind) in values.items()}
     sources = [source for source, _ in values.values()]
     chosen = _only_one(_columns(decisions, [*keys, *sources]), keys)
     chosen = chosen.select(
@@ -106,33 +133,34 @@ def _update(
     )
 
 
-_SITE_LIST_LIMIT = 10_000
+def at_sites(table: DataFrame, sites: Sequence[int]) -> SitePart:
+    """The rows of the sites the caller names; a table stored by site is read in their
+    folders only."""
+    return SitePart(table.where(F.col("site_id").isin(list(sites))))
 
 
-def at_decided_sites(table: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The rows of all sites with decisions.
+def at_decided_sites(table: DataFrame, decisions: DataFrame) -> SitePart:
+    """The rows of all sites with decisions, by a semi-join with one number per site.
 
-    Up to 10,000 sites are listed in the filter, so a table stored by site is read in
-    those folders only and nothing is shuffled; more are matched by a join.
+    Spark reads the other sites' folders too; ``at_sites`` does not.
     """
-    sites = decisions.select("site_id").where(F.col("site_id").isNotNull()).distinct()
-    listed = [row.site_id for row in sites.limit(_SITE_LIST_LIMIT + 1).collect()]
-    if len(listed) > _SITE_LIST_LIMIT:
-        return keep_matching(table, decisions, ["site_id"])
-    return table.where(F.col("site_id").isin(listed))
+    return SitePart(keep_matching(table, decisions, ["site_id"]))
 
 
 # --- person ---------------------------------------------------------------------
 
 
-def normalise_genders(person: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+def normalise_genders(person: DataFrame | SitePart, cfg: Config = DEFAULT) -> DataFrame:
     """Known spellings of live rows become M or F; NULL and unknown values stay."""
+    person = _rows(person, ["site_id"])  # no decisions: each row by itself
     strange = ~F.col("gender").isin(*cfg.valid_genders[CENTRAL]) & live()
     fixed = F.when(strange, normalise_gender(F.col("gender"))).otherwise(F.col("gender"))
     return person.withColumn("gender", fixed)
 
 
-def clear_death(person: DataFrame, decisions: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+def clear_death(
+    person: DataFrame | SitePart, decisions: DataFrame, cfg: Config = DEFAULT
+) -> DataFrame:
     """Take back a wrong death (decisions: person_id, site_id); live rows only.
 
     Rule 2 looks at the "died" state, so its finding stays.
@@ -141,14 +169,16 @@ def clear_death(person: DataFrame, decisions: DataFrame, cfg: Config = DEFAULT)
     return _update(person, decisions, ["person_id", "site_id"], {}, fixed, live())
 
 
-def set_birthdate(person: DataFrame, decisions: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+def set_birthdate(
+    person: DataFrame | SitePart, decisions: DataFrame, cfg: Config = DEFAULT
+) -> DataFrame:
     """Correct birthdates (decisions: person_id, site_id, birthdate)."""
     values = {"birthdate": ("birthdate", "date")}
     return _update(person, decisions, ["person_id", "site_id"], values, {})
 
 
 def set_gender_female(
-    person: DataFrame, decisions: DataFrame, cfg: Config = DEFAULT
+    person: DataFrame | SitePart, decisions: DataFrame, cfg: Config = DEFAULT
 ) -> DataFrame:
     """Male by mistake (decisions: person_id, site_id); live rows only."""
     return _update(
@@ -168,7 +198,7 @@ def _voiding(reason: str, as_of: date | None) -> dict[str, Column]:
 
 
 def void_visits(
-    encounter: DataFrame,
+    encounter: DataFrame | SitePart,
     decisions: DataFrame,
     cfg: Config = DEFAULT,
     *,
@@ -176,16 +206,17 @@ def void_visits(
 ) -> DataFrame:
     """Void visits after death (decisions: encounter_id, site_id, user_id)."""
     return _update(
-        require_columns(encounter, "encounter", audit=True),
+        encounter,
         decisions,
         ["encounter_id", "site_id"],
         {"voided_by": ("user_id", "bigint")},
         _voiding(texts.VOID_VISIT_REASON, as_of),
+        audited="encounter",
     )
 
 
 def set_state_start(
-    patient_state: DataFrame,
+    patient_state: DataFrame | SitePart,
     decisions: DataFrame,
     cfg: Config = DEFAULT,
     *,
@@ -195,39 +226,40 @@ def set_state_start(
 
     Decisions: patient_state_id, site_id, correct_date, user_id.
     """
-    kind = dict(patient_state.dtypes)["start_date"]
     return _update(
-        require_columns(patient_state, "patient_state", audit=True),
+        patient_state,
         decisions,
         ["patient_state_id", "site_id"],
-        {"start_date": ("correct_date", kind), "changed_by": ("user_id", "bigint")},
+        {"start_date": ("correct_date", ""), "changed_by": ("user_id", "bigint")},
         {"date_changed": as_of_column(as_of)},
         live() & (F.col("state") == cfg.state_on_art),
+        audited="patient_state",
     )
 
 
 # --- obs ------------------------------------------------------------------------
 
 
-def set_obs_datetime(obs: DataFrame, decisions: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+def set_obs_datetime(
+    obs: DataFrame | SitePart, decisions: DataFrame, cfg: Config = DEFAULT
+) -> DataFrame:
     """Correct the time of live observations.
 
     Decisions: obs_id, site_id, person_id, obs_datetime.  Rule 3 does not look at
     observations, so its finding stays.
     """
-    kind = dict(obs.dtypes)["obs_datetime"]
     return _update(
         obs,
         decisions,
         ["obs_id", "site_id", "person_id"],
-        {"obs_datetime": ("obs_datetime", kind)},
+        {"obs_datetime": ("obs_datetime", "")},
         {},
         live(),
     )
 
 
 def void_observations(
-    obs: DataFrame,
+    obs: DataFrame | SitePart,
     decisions: DataFrame,
     cfg: Config = DEFAULT,
     *,
@@ -235,17 +267,18 @@ def void_observations(
 ) -> DataFrame:
     """Void live observations of male clients (decisions: obs_id, site_id, user_id)."""
     return _update(
-        require_columns(obs, "obs", audit=True),
+        obs,
         decisions,
         ["obs_id", "site_id"],
         {"voided_by": ("user_id", "bigint")},
         _voiding(texts.VOID_OBS_REASON, as_of),
         live(),
+        audited="obs",
     )
 
 
 def set_obs_value(
-    obs: DataFrame,
+    obs: DataFrame | SitePart,
     decisions: DataFrame,
     cfg: Config = DEFAULT,
     *,
@@ -255,15 +288,16 @@ def set_obs_value(
     """Correct the number of live observations.
 
     Decisions: obs_id, correct_value, user_id; as written the site is not part of the
-    key, ``site_safe`` adds site_id.
+    key, so all sites' rows with the number change; ``site_safe`` adds site_id.
     """
     return _update(
-        require_columns(obs, "obs", audit=True),
+        obs,
         decisions,
         ["obs_id", "site_id"] if site_safe else ["obs_id"],
         {"value_numeric": ("correct_value", "double"), "changed_by": ("user_id", "bigint")},
         {"date_changed": as_of_column(as_of)},
         live(),
+        audited="obs",
     )
 
 
@@ -295,7 +329,9 @@ def _insert(
         F.lit(0).alias("voided"),
     )
     if own_ids:
-        fresh = drop_matching(fresh, obs, keys)
+        # the few new keys go to the table, not the table's keys to them
+        taken = keep_matching(obs.select(*keys), fresh, keys)
+        fresh = drop_matching(fresh, taken, keys)
     else:
         fresh = with_new_ids(fresh, obs, "obs_id")
     columns = {c: F.lit(None) for c in obs.columns} | {c: F.col(c) for c in fresh.columns}

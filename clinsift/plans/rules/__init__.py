@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -26,6 +27,28 @@ RULES: dict[str, Callable[[RecordTables, RuleContext], DataFrame]] = {
 }
 
 
+@dataclass(frozen=True)
+class Reads:
+    """The client state and the concepts a rule looks at."""
+
+    state: int
+    concepts: tuple[int, ...] = ()
+
+
+def reads(name: str, cfg: Config, variant: Variant) -> Reads:
+    """What one rule needs of the clients and of ``obs``."""
+    concepts = {
+        "r04_male_pregnancy": cfg.maternal_questions,
+        "r05_female_age_range": cfg.maternal_questions,
+        "r07_peds_missing_vitals": cfg.measures,
+        "r08_adult_no_height": (cfg.height,),
+        "r09_pregnant_at_art_start": cfg.pregnancy_questions,
+        "r10_breastfeeding": cfg.breastfeeding_questions[variant],
+    }
+    state = cfg.state_died if name == "r02_visit_after_death" else cfg.state_on_art
+    return Reads(state, tuple(concepts.get(name, ())))
+
+
 def run_rule(
     name: str,
     tables: RecordTables,
@@ -37,7 +60,9 @@ def run_rule(
     ordered: bool = False,
 ) -> DataFrame:
     """The findings of one rule."""
+    if tables.prepared is not None:
+        tables.prepared.check(name, cfg, reads(name, cfg, variant).concepts)
     return RULES[name](tables, RuleContext(cfg, variant, as_of, site_safe, ordered))
 
 
-__all__ = ["RULES", "RuleContext", "run_rule"]
+__all__ = ["RULES", "Reads", "RuleContext", "reads", "run_rule"]

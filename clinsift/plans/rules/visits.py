@@ -82,15 +82,17 @@ def child_missing_measures(t: RecordTables, ctx: RuleContext) -> DataFrame:
             salts=ctx.cfg.salts,
         )
         .where(F.col("birthdate").isNull() | (age < ctx.cfg.adult_age))
-        .distinct()
     )
     by_visit = ["encounter_id"]
     if ctx.site_safe or not ctx.central:
         by_visit = ["encounter_id", "site_id"]
     weight, height, bmi = (F.col(c).isNull() for c in ("weight", "height_cm", "bmi"))
-    found = visits.join(
-        measure_pivot(t.obs, by_visit, ctx.cfg), on=by_visit, how="left"
-    ).where(weight | height | bmi)
+    # equal rows go after the join: their key contains the join's, so they need no exchange
+    found = (
+        visits.join(measure_pivot(t.obs, by_visit, ctx.cfg), on=by_visit, how="left")
+        .where(weight | height | bmi)
+        .distinct()
+    )
     found = ctx.sort(
         found,
         ["patient_id", "encounter_datetime"],

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
-_local_folders: dict[str, str] = {}  # application id -> folder of a local session
 
 
 def write_version(df: DataFrame, path: str, partition_by: Sequence[str] = ("site_id",)) -> None:
@@ -46,28 +44,35 @@ def replace_partitions(
 
 
 def stage_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables, as the cluster names it.
-
-    Only a local session may fall back on a folder of this machine.
-    """
+    """The shared folder for intermediate tables, as the session names it."""
     folder = spark.conf.get(CHECKPOINT_CONF, None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not folder:
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="clinsift-")
-    return _local_folders[context.applicationId]
+    return folder
+
 
+def stage_folder(spark: SparkSession) -> str:
+    """A new folder for tables that are staged, and removed, together."""
+    return f"{stage_dir(spark)}/staged-{uuid.uuid4().hex}"
 
-def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+
+def stage(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), folder: str | None = None
+) -> DataFrame:
     """Write a frame that several jobs share and read it back.
 
     A written table survives the loss of executors, cuts the lineage, and has a
-    known size, so Spark can choose a broadcast join for it by itself.
+    known size, so Spark can choose a broadcast join for it by itself.  Each task writes
+    its own files of a partition: no shuffle, and no task that gets a whole partition.
     """
     spark = df.sparkSession
-    path = f"{stage_dir(spark)}/staged-{uuid.uuid4().hex}/{name}"
-    write_version(df, path, partition_by)
+    path = f"{folder or stage_folder(spark)}/{name}"
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a staged folder through Spark's own file system."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -8,6 +8,7 @@ from conftest import AS_OF, SF
 from checks.fixture import CONFIG, record_tables
 from checks.registry import table_queries
 from clinsift import CENTRAL, DETECTION, RULES, corrections, read_parquet, run_rule
+from clinsift.operators import skew_join, with_new_ids
 from clinsift.sources import TABLES
 
 
@@ -84,3 +85,63 @@ def test_reviewed_decisions_leave_the_large_table_in_place(spark, stored, tmp_pa
     tree = plan(fixed).split("(1) Scan")[0]  # the tree comes before the details of its nodes
     assert "BroadcastHashJoin LeftOuter BuildRight" in tree
     assert tree.count("Exchange") == 2  # of the decisions: one per key, one broadcast
+
+
+def test_own_ids_leave_the_large_table_in_place(spark, stored, tmp_path):
+    """Decisions with ids from a file: their keys go to the scan of obs, which is not shuffled."""
+    path = f"{tmp_path}/heights"
+    spark.range(50).selectExpr(
+        "id obs_id", "id patient_id", "1 site_id", "date '2001-01-01' visit_date",
+        "150D height_value", "7L user_id",
+    ).write.parquet(path)
+    new = corrections.insert_height(
+        stored.obs, spark.read.parquet(path), CONFIG, as_of=AS_OF, only_new=True
+    )
+    tree = plan(new).split("(1) Scan")[0]
+    of_obs = tree[tree.index("LeftSemi") :]
+    assert "BroadcastHashJoin LeftSemi BuildRight" in tree
+    table = of_obs[: of_obs.index("BroadcastExchange")]
+    assert "Scan" in table and "Exchange" not in table
+
+
+def test_equal_visits_go_without_an_exchange_of_their_own(spark, stored):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(run_rule("r07_peds_missing_vitals", stored, CONFIG, as_of=AS_OF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"[+:]- (?:Exchange|ReusedExchange)", text.split("(1) Scan")[0])) == 9
+
+
+def test_a_named_part_reads_its_own_folders(spark, stored, tmp_path):
+    stored.person.write.partitionBy("site_id").parquet(f"{tmp_path}/person")
+    person = spark.read.parquet(f"{tmp_path}/person")
+    named = plan(corrections.at_sites(person, [2]).rows)
+    assert re.search(r"PartitionFilters: \[.*site_id", named)
+    decisions = spark.createDataFrame([(1, 2)], "person_id bigint, site_id int")
+    assert "LeftSemi" in plan(corrections.at_decided_sites(person, decisions).rows)
+
+
+def test_copies_count_in_the_size_that_a_broadcast_is_chosen_by(spark, tmp_path):
+    """A side just under the limit is over it eight times."""
+    spark.range(20_000).selectExpr("id k", "uuid() s").write.parquet(f"{tmp_path}/keyed")
+    keyed = spark.read.parquet(f"{tmp_path}/keyed")
+    size = keyed._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    facts = spark.range(1_000_000).selectExpr("id obs_id", "id % 20000 k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(int(str(size)) * 2))
+    try:
+        joined = skew_join(facts, keyed, ["k"], ["obs_id"], 8)
+        assert joined.count() == 1_000_000
+        rows = skew_join(facts, keyed, ["k"], ["obs_id"], 8)
+        rows.write.format("noop").mode("overwrite").save()
+        rows.tail(1)
+        final = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "isFinalPlan=true" in final and "BroadcastHashJoin" not in final
+
+
+def test_new_numbers_come_from_one_exchange_of_the_rows(stored):
+    """Ranks and bucket starts read the same shuffle."""
+    text = plan(with_new_ids(stored.person.select("person_id"), stored.obs, "obs_id"))
+    assert len(re.findall(r"Arguments: hashpartitioning\(_bucket", text)) in (1, 2)

@@ -1,5 +1,8 @@
 """All rules over shared, staged inputs give what each rule gives alone."""
 
+import os
+from dataclasses import replace
+
 import pytest
 from conftest import AS_OF, SF
 
@@ -14,7 +17,7 @@ def tables(spark):
 
 @pytest.mark.parametrize("variant", [DETECTION, CENTRAL])
 def test_staged_run_equals_single_rules(tables, variant):
-    together = run_all(tables, CONFIG, variant=variant, as_of=AS_OF)
+    together = run_all(tables, CONFIG, variant=variant, as_of=AS_OF, site_safe=False)
     assert list(together) == list(RULES)
     for name, df in together.items():
         alone = run_rule(name, tables, CONFIG, as_of=AS_OF, variant=variant)
@@ -35,3 +38,43 @@ def test_staged_observations_are_pruned_by_concept(tables):
     assert "PartitionFilters: [isnotnull(concept_id" in text
     newer = shared.with_table("person", tables.person)
     assert newer.clients == {}  # prepared clients belong to the old person table
+
+
+def test_detection_over_many_sites_must_be_chosen(tables):
+    with pytest.raises(ValueError, match="site_safe"):
+        run_all(tables, CONFIG, variant=DETECTION, as_of=AS_OF)
+    some = run_all(
+        tables, CONFIG, variant=DETECTION, rules=["r01_gender"], as_of=AS_OF, staged=False
+    )
+    assert list(some) == ["r01_gender"]
+
+
+@pytest.mark.parametrize(
+    "other", [{"hiv_program": 3}, {"height": 1}, {"yes": 2}, {"adult_age": 16}]
+)
+def test_prepared_inputs_refuse_other_settings(tables, other):
+    shared = prepare(tables, CONFIG, rules=["r01_gender", "r03_art_before_birth"])
+    with pytest.raises(ValueError, match="other settings"):
+        run_rule("r01_gender", shared, replace(CONFIG, **other), as_of=AS_OF)
+    run_rule("r01_gender", shared, replace(CONFIG, salts=3), as_of=AS_OF)
+    shared.drop_prepared()
+
+
+def test_prepared_inputs_refuse_other_rules(tables):
+    shared = prepare(tables, CONFIG, rules=["r08_adult_no_height", "r07_peds_missing_vitals"])
+    with pytest.raises(ValueError, match="without the concepts"):
+        run_rule("r04_male_pregnancy", shared, CONFIG, as_of=AS_OF)
+    shared.drop_prepared()
+
+
+def test_only_what_is_shared_is_written(spark, tables):
+    one = prepare(tables, CONFIG, rules=["r01_gender"])
+    assert one.obs is tables.obs and not one.clients and not os.path.exists(one.prepared.folder)
+    two = prepare(tables, CONFIG, rules=["r01_gender", "r08_adult_no_height"])
+    assert two.obs is tables.obs and set(two.clients) == {CONFIG.state_on_art}
+    assert os.listdir(two.prepared.folder) == [f"clients_{CONFIG.state_on_art}"]
+    heights = prepare(tables, CONFIG, rules=["r07_peds_missing_vitals", "r08_adult_no_height"])
+    parts = [x for x in os.listdir(f"{heights.prepared.folder}/obs") if "=" in x]
+    assert sorted(parts) == sorted(f"concept_id={c}" for c in CONFIG.measures)
+    heights.drop_prepared()
+    assert not os.path.exists(heights.prepared.folder)

@@ -1,14 +1,18 @@
 import os
+import shutil
 import subprocess
 import sys
 from datetime import date
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from conftest import AS_OF, values
 from pyspark.sql import functions as F
 
 from clinsift import corrections, read_catalog, read_parquet, run_rule, write_version
-from clinsift.sources import TABLES, replace_partitions, stage, stage_dir
+from clinsift.sources import SCHEMAS, TABLES, replace_partitions, stage, stage_dir
+from clinsift.sources.schemas import AUDIT_COLUMNS, ddl
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -33,6 +37,10 @@ def test_read_back_and_run(spark, stored, cfg):
 
 
 def test_extra_columns_can_be_declared(spark, stored):
+    person = read_parquet(spark, stored).person.withColumn("uuid", F.lit("u"))
+    shutil.copytree(stored, f"{stored}/more", ignore=shutil.ignore_patterns("person.parquet"))
+    stored = f"{stored}/more"
+    write_version(person, f"{stored}/person.parquet")
     t = read_parquet(spark, stored, {"person": {"uuid": "string"}})
     assert dict(t.person.dtypes)["uuid"] == "string"
 
@@ -87,7 +95,65 @@ assert stage_dir(spark) == "{tmp_path}", stage_dir(spark)
     assert done.returncode == 0, done.stderr[-800:]
 
 
+def test_no_stage_without_a_shared_folder():
+    class Unset:
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        stage_dir(Unset)
+
+
+REQUIRED = [(t, c) for t in TABLES for c in SCHEMAS[t] if c not in AUDIT_COLUMNS]
+
+
+@pytest.fixture(scope="module")
+def record_folder(spark, tmp_path_factory):
+    """Empty tables with all columns; a test writes one of them again with one less."""
+    folder = str(tmp_path_factory.mktemp("all_columns"))
+    for table in TABLES:
+        spark.createDataFrame([], ddl(SCHEMAS[table])).write.parquet(f"{folder}/{table}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize(("table", "column"), REQUIRED)
+def test_a_missing_column_stops_the_reader(spark, record_folder, tmp_path, table, column):
+    for t in TABLES:
+        os.symlink(f"{record_folder}/{t}.parquet", f"{tmp_path}/{t}.parquet")
+    os.unlink(f"{tmp_path}/{table}.parquet")
+    lacking = pa.schema([pa.field(c, pa.string()) for c in SCHEMAS[table] if c != column])
+    if len(column) % 2:  # a file, or a folder of files
+        pq.write_table(lacking.empty_table(), f"{tmp_path}/{table}.parquet")
+    else:
+        os.mkdir(f"{tmp_path}/{table}.parquet")
+        pq.write_table(lacking.empty_table(), f"{tmp_path}/{table}.parquet/part-0.parquet")
+    with pytest.raises(ValueError, match=f"{table} .*{column}"):
+        read_parquet(spark, str(tmp_path))
+
+
+def test_audit_columns_and_site_folders_may_be_there_or_not(spark, record_folder, tmp_path):
+    for t in TABLES:
+        os.symlink(f"{record_folder}/{t}.parquet", f"{tmp_path}/{t}.parquet")
+    os.unlink(f"{tmp_path}/obs.parquet")
+    kept = {c: k for c, k in SCHEMAS["obs"].items() if c not in AUDIT_COLUMNS}
+    rows = spark.createDataFrame([], ddl(kept)).unionByName(
+        spark.sql("select 1L obs_id, 7 site_id"), allowMissingColumns=True
+    )
+    rows.write.partitionBy("site_id").parquet(f"{tmp_path}/obs.parquet")
+    t = read_parquet(spark, str(tmp_path))
+    assert set(t.obs.columns) == set(kept)
+    assert values(t.obs, "obs_id", "site_id") == [(1, 7)]
+    with pytest.raises(ValueError, match="uuid"):
+        read_parquet(spark, str(tmp_path), {"obs": {"uuid": "string"}})
+
+
 def test_import_and_oracle_need_no_session():
-    code = "import __spark_entry__ as e; assert set(e.queries()) == set(e.oracle_sql())"
+    code = (
+        "import __spark_entry__ as e; from checks import registry;"
+        "q, o = set(e.queries()), set(e.oracle_sql());"
+        "assert o <= q and set(registry.queries()) <= o"
+    )
     done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, timeout=60)
     assert done.returncode == 0, done.stderr[-800:]
