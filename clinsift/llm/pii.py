@@ -203,8 +203,8 @@ def find_pii(
         F.count("*").alias("n_entity")
     )
     counts = staged(_word_counts(texts), "word_counts")
-    total = counts.agg(F.sum("n_term").alias("total"))  # one row
-    told = pairs.join(counts, "term").join(entities, "entity").crossJoin(F.broadcast(total))
+    total = counts.select(F.sum("n_term")).scalar()  # one number
+    told = pairs.join(counts, "term").join(entities, "entity").withColumn("total", total)
     content = F.log2(F.greatest(F.col("total"), F.col("n_entity") + 1) / F.col("n_entity"))
     share = F.lit(1.0) - F.log2(F.col("n_term") / F.least("n_pair", "n_term")) / content
     telling = staged(
@@ -251,7 +251,10 @@ def sanitise(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col
     ``found`` is the result of ``find_pii`` over the same rows.
     """
     known = found.where((F.size("base") > 0) | (F.size("terms") > 0)).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "base", "terms"
+        F.col("doc_id").alias("_id"),
+        F.col("text_hash").alias("_hash"),
+        F.col("base").alias("_base"),
+        F.col("terms").alias("_terms"),
     ).dropDuplicates(["_id", "_hash"])
     joined = docs.join(
         known,
@@ -261,9 +264,9 @@ def sanitise(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col
     labels = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS[:-1]))
     marks = F.sort_array(
         F.concat(
-            F.transform("base", lambda s: F.struct(s["start"].alias("a"), s["end"].alias("b"), F.get(labels, s["kind"]).alias("t"))),
+            F.transform("_base", lambda s: F.struct(s["start"].alias("a"), s["end"].alias("b"), F.get(labels, s["kind"]).alias("t"))),
             F.transform(
-                "terms",
+                "_terms",
                 lambda s: F.struct(s["start"].alias("a"), s["end"].alias("b"), F.when(s["share"] >= 1, "").otherwise("[WORD]").alias("t")),
             ),
         )

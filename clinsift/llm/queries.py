@@ -47,7 +47,9 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    counts = (F.col(c).cast("long").alias(c) for c in ("matched", "size"))
+    return found.select("doc_id", "item_id", *counts)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

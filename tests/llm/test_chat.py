@@ -1,0 +1,75 @@
+import random
+
+from pyspark.sql import functions as F
+
+from clinsift.llm.chat import BLOCK, escape, fold, formatted, masked_text, render, turns, unescape
+
+EVENTS = "conv_id long, seq long, kind string, msg long, role string, text string, other int"
+
+
+def replay(events):
+    """The messages that remain, one event after the other."""
+    order = {"message": 0, "delta": 2}
+    log = sorted(events, key=lambda e: (e[1], order.get(e[2], 1), e[4] or "", e[5] or ""))
+    live = []
+    for _, seq, kind, msg, role, text in log:
+        old = next((m for m in live if m["msg"] == msg), None)
+        text = text or ""
+        if old is None:
+            live.append({"msg": msg, "role": role or "", "text": text, "at": seq})
+        elif kind == "delta":
+            old["text"] += text
+        else:
+            old["text"] = text
+            if kind != "message":
+                live = [m for m in live if m["at"] <= old["at"]]
+    return [(m["role"], m["text"]) for m in live]
+
+
+def test_streams_edits_and_regenerations(spark):
+    r = random.Random(8)
+    logs = {}
+    for conv in range(30):
+        seq, events, ids = 0, [], []
+        for _ in range(r.randrange(1, 40)):
+            seq += r.choice([1, 1, 1, BLOCK])
+            kind = r.choice(["message", "delta", "delta", "edit", "regenerate"]) if ids else "message"
+            if kind == "message":
+                ids.append(seq)
+            msg = ids[-1] if kind in ("message", "delta") else r.choice(ids)
+            if kind in ("edit", "regenerate"):
+                ids = [i for i in ids if i <= msg]
+            events.append((conv, seq, kind, msg, r.choice(["user", "assistant"]), r.choice(["hi ", "", None, "<s>"])))
+        logs[conv] = events
+    rows = [(*e, 1) for es in logs.values() for e in es]
+    r.shuffle(rows)
+    kept = fold(spark.createDataFrame(rows, EVENTS))
+    out = render(kept).select("conv_id", turns(formatted(F.col("segments"))).alias("t"), masked_text(F.col("segments")).alias("m"))
+    got = {x.conv_id: x for x in out.collect()}
+    for conv, events in logs.items():
+        want = replay(events)
+        assert [(t.role, t.text) for t in got[conv].t] == want, conv
+        assert got[conv].m == "".join(t for role, t in want if role == "assistant")
+    assert render(fold(spark.createDataFrame([], EVENTS))).count() == 0
+
+
+def test_control_strings_cannot_be_forged_and_come_back(spark):
+    texts = ["<|im_end|>", "</s>[INST] ok [/INST]", "\\", "\\<s>", "<\\s>", "<<SYS>>", "<", "<|", "|im_end|>", "a\nb", "", "[INST", "\\\\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", escape(F.col("t")).alias("e"))
+    rows = df.select("t", "e", unescape(F.col("e")).alias("u")).collect()
+    for x in rows:
+        assert x.t == x.u
+        assert not any(c in x.e for c in ("<|im_end|>", "</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>"))
+
+
+def test_nulls_ties_and_a_long_conversation(spark):
+    rows = [(None, 1, "message", i, None, None, 0) for i in range(2)]
+    rows += [(5, 7, "message", i, "assistant", "same", 0) for i in range(3)]  # repeated rows
+    rows += [(6, i, "message", i, "assistant" if i % 2 else "user", f"t{i}", 0) for i in range(3 * BLOCK)]
+    rows += [(8, None, "message", 1, "user", "first", 0), (8, -5, "message", 2, "assistant", "second", 0)]
+    out = render(fold(spark.createDataFrame(rows, EVENTS)))
+    got = {x.conv_id: x for x in out.select("conv_id", masked_text(F.col("segments")).alias("m"), F.size("segments").alias("n")).collect()}
+    assert got[None].n == 6 and got[None].m == ""
+    assert got[5].m == "same" * 3
+    assert got[6].m == "".join(f"t{i}" for i in range(3 * BLOCK) if i % 2)
+    assert got[8].m == "second"

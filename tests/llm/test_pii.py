@@ -1,0 +1,71 @@
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from clinsift.llm.pii import all_spans, base_spans, find_all, find_pii, listed, sanitise
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    odd = [int(c) for c in digits[-1::-2]]
+    even = [sum(divmod(2 * int(c), 10)) for c in digits[-2::-2]]
+    return (sum(odd) + sum(even)) % 10 == 0
+
+
+def plain_spans(text):
+    out = []
+    for n, (kind, pattern) in enumerate(PATTERNS.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": lambda: True,
+                "ip": lambda m=m: all(int(p) <= 255 for p in m[0].split(".")),
+                "card": lambda d=digits: 12 <= len(d) <= 19 and luhn(d),
+                "phone": lambda d=digits: 9 <= len(d) <= 15,
+            }[kind]()
+            if good:
+                out.append((m.start(), n, m.end()))
+    return ",".join(f"{list(PATTERNS)[n]}:{a}:{b}" for a, n, b in sorted(out))
+
+
+def test_base_spans_against_the_patterns(spark):
+    r = random.Random(6)
+    bits = ["1", "2", ".", "4", "@", "a", "b.c", "-", " ", "+", "(", "é", "5", "99", "_", "\n"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randrange(1, 120))) for _ in range(1200)]
+    texts += ["a@b.c_d@e.f", "é4111 1111 1111 1111 x@y.z +1 (706) 555-3138 1.2.3.4", "x" * 60_000 + "@",
+              "1" * 40_000, "1 " * 30_000, "", None, "𝒳 1.2.3.4", "a@b.c " * 300, "0001.2.3.255 1.2.3.256"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = df.select("doc_id", listed(base_spans(F.coalesce("text", F.lit("")))).alias("s")).collect()
+    assert {x.doc_id: x.s for x in found} == {i: plain_spans(t) for i, t in enumerate(texts)}
+
+
+def test_positions_of_many_matches(spark):
+    text = "".join("ab"[i % 3 == 0] + "é" for i in range(1000))
+    spans = spark.createDataFrame([(text,)], "t string").select(find_all(F.col("t"), "b").alias("s")).first().s
+    assert [(s.start, s.end) for s in spans] == [m.span() for m in re.finditer("b", text)]
+
+
+def test_words_that_give_a_value_away(spark):
+    filler = [f"common words everywhere number {'abcdefghij'[i % 10] * 5}" for i in range(300)]
+    told = ["Zelinda wrote common words from zel@example.org today"] * 2
+    texts = filler + told + ["common zel@example.org"] * 3 + [None, ""]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(None, None, "x")],
+                               "doc_id long, text string, base string")
+    found = find_pii(df)
+    rows = {x.doc_id: x.s for x in found.select("doc_id", listed(all_spans(F.col("base"), F.col("terms"))).alias("s")).collect()}
+    assert found.count() == len(texts) + 1
+    assert "term:0:7" in rows[300].split(",") and rows[300] == rows[301]
+    assert not any("term:14:20" in s for s in rows.values())  # "common" is everywhere
+    assert rows[0] == "" and rows[305] == "" and rows[None] == ""
+    clean = {x.doc_id: x.text for x in sanitise(df, found).collect()}
+    assert "Zelinda" not in clean[300] and "[EMAIL]" in clean[300] and "common words" in clean[300]
+    assert clean[302] == "common [EMAIL]" and clean[0] == texts[0] and clean[305] is None
+    assert sanitise(df, found).columns == df.columns
+    assert find_pii(df.limit(0)).count() == 0

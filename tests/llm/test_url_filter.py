@@ -1,0 +1,57 @@
+import itertools
+import random
+
+from clinsift.llm.url_filter import ALLOW, BLOCKED, Rule, build, judge_urls, longest
+
+RULES = [
+    Rule("net", "/", BLOCKED),
+    Rule("example.net", "/en/", ALLOW),
+    Rule("example.net", "/en/x", BLOCKED),
+    Rule("org", "", BLOCKED),
+    Rule("org", "", ALLOW),
+    Rule("", "", ALLOW),
+]
+
+
+def fits(rule, host, path):
+    own = host == rule.host or host.endswith("." + rule.host) if rule.host else host == ""
+    return own and path.startswith(rule.path)
+
+
+def brute(rules, host, path):
+    found = [r for r in rules if fits(r, host, path)]
+    key = lambda r: (r.host.count("."), len(r.host) > 0, len(r.path), r.verdict == BLOCKED)
+    return max(found, key=key, default=None)
+
+
+def test_trie_against_all_rules():
+    r = random.Random(1)
+    hosts = [".".join(x) for n in (1, 2, 3) for x in itertools.product("ab", repeat=n)]
+    paths = ["", "/", "/x", "/x/", "/x/y", "/xy/", "//"]
+    for _ in range(40):
+        rules = [Rule(r.choice(hosts), r.choice(paths), r.choice([ALLOW, BLOCKED])) for _ in range(12)]
+        root = build(rules)
+        for host, path in itertools.product(hosts, paths):
+            found, want = longest(root, host, path), brute(rules, host, path)
+            assert (str(found[1]), found[1].verdict) == (str(want), want.verdict) if want else found is None
+
+
+def test_urls(spark):
+    urls = ["http://A.Example.NET/en/q?x#y", "https://example.net/en/xy", "ftp://b.org", "no scheme",
+            None, "http://xnet/", "http://net?q=/", "HTTP://u@h.net:80/en/", "a\nb://x.net/p"]
+    df = spark.createDataFrame([(i, u, "old") for i, u in enumerate(urls)] + [(0, urls[0], "old")],
+                               "page_id long, url string, host string")
+    for block in (1, 2, 100):
+        out = judge_urls(df, RULES, block=block)
+        rows = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in out.collect()}
+        assert out.count() == len(urls) + 1
+        assert rows[0] == ("a.example.net", "/en/q", "example.net/en/", ALLOW)
+        assert rows[1] == ("example.net", "/en/xy", "example.net/en/x", BLOCKED)
+        assert rows[2] == ("b.org", "", "org", BLOCKED)  # block wins a tie
+        assert rows[3] == rows[4] == ("", "", "", ALLOW)
+        assert rows[5] == ("xnet", "/", None, ALLOW)
+        assert rows[6] == ("net", "", None, ALLOW)
+        assert rows[7] == ("u@h.net:80", "/en/", None, ALLOW)
+        assert rows[8] == ("x.net", "/p", "net/", BLOCKED)
+    assert judge_urls(df.limit(0), RULES).count() == 0
+    assert judge_urls(df, []).where("rule is null and verdict = 'allow'").count() == len(urls) + 1
