@@ -144,7 +144,7 @@ def at_decided_sites(table: DataFrame, decisions: DataFrame) -> SitePart:
 
     Spark reads the other sites' folders too; ``at_sites`` does not.
     """
-    return SitePart(keep_matching(table, decisions, ["site_id"]))
+    return SitePart(keep_matching(table, decisions, ["site_id"]).select(*table.columns))
 
 
 # --- person ---------------------------------------------------------------------

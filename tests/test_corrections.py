@@ -371,3 +371,49 @@ def test_breastfeeding_no_does_not_clear(clinic, cfg):
     new = corrections.insert_breastfeeding_no(t.obs, decisions, cfg, as_of=AS_OF)
     assert values(new.where("value_coded = 1066"), "concept_id", "encounter_id") == [(7965, 5)]
     assert found("r10_breastfeeding", t.with_table("obs", new), cfg).count() == 1
+
+
+# --- parts of a table ---------------------------------------------------------------
+
+
+UPDATES = {
+    "clear_death": ("person", "person_id", {}),
+    "set_birthdate": ("person", "person_id", {"birthdate": date(1990, 1, 1)}),
+    "set_gender_female": ("person", "person_id", {}),
+    "void_visits": ("encounter", "encounter_id", {"user_id": 7}),
+    "set_state_start": ("patient_state", "patient_state_id",
+                        {"correct_date": date(1999, 1, 1), "user_id": 7}),
+    "set_obs_datetime": ("obs", "obs_id", {"person_id": 1, "obs_datetime": AT}),
+    "void_observations": ("obs", "obs_id", {"user_id": 7}),
+    "set_obs_value": ("obs", "obs_id", {"correct_value": 5.0, "user_id": 7}),
+}
+
+
+@pytest.mark.parametrize("name", UPDATES)
+def test_part_and_rest_make_the_whole(spark, cfg, name):
+    table, key, values_given = UPDATES[name]
+    extra = {"state": cfg.state_on_art} if table == "patient_state" else {}
+    extra |= {"person_id": 1} if table == "obs" else {}
+    rows = [{key: n, "site_id": site, **extra} for n in (1, 2) for site in (1, 2, 3)]
+    whole = frame(spark, table, rows)
+    given = {key: 1, "site_id": 2, **values_given}
+    decisions = spark.createDataFrame([tuple(given.values())], list(given))
+    correct = getattr(corrections, name)
+    options = {"site_safe": True} if name == "set_obs_value" else {}
+    want = correct(whole, decisions, cfg, **options)
+    assert not same_rows(want, whole)
+    for part in (
+        corrections.at_decided_sites(whole, decisions),
+        corrections.at_sites(whole, [2]),
+    ):
+        fixed = correct(part, decisions, cfg, **options)
+        assert same_rows(fixed.unionByName(whole.where("site_id != 2")), want)
+
+
+def test_a_part_is_refused_where_the_key_lacks_the_site(spark, cfg):
+    obs = observations(spark, *({"obs_id": 1, "site_id": s} for s in (1, 2)))
+    decisions = spark.createDataFrame([(1, 1, 5.0, 7)], "obs_id long, site_id int, correct_value double, user_id long")
+    whole = corrections.set_obs_value(obs, decisions, cfg)
+    assert values(whole, "site_id", "value_numeric") == [(1, 5.0), (2, 5.0)]
+    with pytest.raises(ValueError, match="whole table"):
+        corrections.set_obs_value(corrections.at_decided_sites(obs, decisions), decisions, cfg)
