@@ -46,7 +46,7 @@ _UNKNOWN = -50_000  # no choice depends on it: such a character is in no piece
 _SCALE = 1 << 30  # scores come before cut weights
 _LOW = -(1 << 200)
 _NEVER = np.int64(-(1 << 61))
-_WORDS = 800_000  # words remembered by one worker, some 200 MB
+_WORDS = 250_000  # words remembered by one worker, some 60 MB
 _CUTS = [int(x) for x in np.random.default_rng(11).integers(1, 1 << 14, 4096)]
 
 
@@ -339,8 +339,13 @@ def encode(
     id_col: str = "doc_id",
     text_col: str = "text",
     chunk: int = CHUNK,
+    decoded: bool = False,
 ) -> DataFrame:
-    """``doc_id, ids`` of every row; ``model`` is the vocabulary file's path."""
+    """``doc_id, ids`` of every row; ``model`` is the vocabulary file's path.
+
+    ``decoded`` adds ``text``, read back from the ids as by ``decode``, but in the same
+    Python workers, so that the ids do not travel twice.
+    """
     if chunk < 1:
         raise ValueError("a chunk has one character at least")
     rows = docs.select(
@@ -354,7 +359,9 @@ def encode(
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                yield _id_batch(["doc_id"], [some.column(0)], [pieces.encode(t) for t in some.column(1).to_pylist()])
+                ids = [pieces.encode(t) for t in some.column(1).to_pylist()]
+                out = _id_batch(["doc_id"], [some.column(0)], ids)
+                yield out.append_column("text", _texts(pieces, out.column("ids"))) if decoded else out
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(model)
@@ -366,7 +373,8 @@ def encode(
             ]
             yield _id_batch(["row", "chunk"], [batch.column("row"), batch.column("chunk")], found)
 
-    small = rows.where(~giant).mapInArrow(whole, "doc_id long, ids array<int>")
+    kind = "doc_id long, ids array<int>" + ", text string" * decoded
+    small = rows.where(~giant).mapInArrow(whole, kind)
     # the row number is written with the text, so it holds whatever is computed again later
     large = staged(
         rows.where(giant).withColumn("row", F.monotonically_increasing_id()), "giants"
@@ -385,7 +393,12 @@ def encode(
         .agg(F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
         .select("row", F.flatten("parts.ids").alias("ids"))
     )
-    return small.union(large.select("doc_id", "row").join(ids, "row").select("doc_id", "ids"))
+    rest = large.select("doc_id", "row").join(ids, "row").select("doc_id", "ids")
+    return small.union(decode(rest, model) if decoded else rest)
+
+
+def _texts(pieces: Pieces, ids: pa.ListArray) -> pa.Array:
+    return pa.array([pieces.decode(x.values) for x in ids], pa.string())
 
 
 def _id_batch(names: list[str], columns: list[pa.Array], ids: list[bytes]) -> pa.RecordBatch:
@@ -403,9 +416,6 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                texts = [pieces.decode(ids.values) for ids in some.column(1)]
-                yield pa.RecordBatch.from_arrays(
-                    [*some.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"]
-                )
+                yield some.append_column("text", _texts(pieces, some.column(1)))
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clinsift.llm.chat import fold, formatted, masked_text, render, turns
 from clinsift.llm.decontaminate import overlaps
 from clinsift.llm.exact_dedup import exact_groups
-from clinsift.llm.piece_scan import decode, encode
+from clinsift.llm.piece_scan import encode
 from clinsift.llm.pii import KINDS, all_spans, find_pii, listed
 from clinsift.llm.quality import rank_quality
 from clinsift.llm.simhash import simhash_groups
@@ -120,7 +120,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    back = decode(encode(_table(spark, sf_dir, "documents"), model), model)
+    back = encode(_table(spark, sf_dir, "documents"), model, decoded=True)
     shown = F.array_join(F.col("ids").cast("array<string>"), ",")
     return back.select(
         "doc_id",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clinsift.llm.decontaminate import keep_clean
 from clinsift.llm.exact_dedup import keep_first
-from clinsift.llm.piece_scan import decode, encode
+from clinsift.llm.piece_scan import encode
 from clinsift.llm.quality import keep_good
 from clinsift.llm.simhash import keep_representatives
 from clinsift.llm.staging import staged
@@ -39,7 +39,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, ids, n_ids`` and the digest of the text read back from the ids."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return decode(encode(docs, model), model).select(
+    return encode(docs, model, decoded=True).select(
         "doc_id",
         "ids",
         F.size("ids").cast("long").alias("n_ids"),
