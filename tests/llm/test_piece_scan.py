@@ -93,7 +93,7 @@ def test_chunks_give_the_ids_of_the_whole(spark, pieces, texts, chunk):
         text = "x y" if row.doc_id is None else some[row.doc_id] or ""
         assert row.ids == ids(pieces, text)
     if chunk == 64:
-        for row in decode(got, MODEL).collect():
+        for row in [*decode(got, MODEL).collect(), *encode(df, MODEL, chunk=chunk, decoded=True).collect()]:
             assert row.text == ("x y" if row.doc_id is None else some[row.doc_id] or "")
 
 
