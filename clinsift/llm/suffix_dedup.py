@@ -7,14 +7,15 @@ only suffixes that can matter are sorted, and only those that can be equal are e
 1. *Anchors.*  Of each ``length``-byte window the ``GRAM``-byte string with the smallest hash is
    the anchor.  Equal windows have equal anchors in equal places, and neighbouring windows mostly
    share one, so a text has an anchor every dozen bytes.  Blocks of documents exchange their
-   sorted anchor hashes; anchors that two documents have are candidates.
+   sorted anchor hashes; anchors that two documents have are candidates.  What documents of
+   one block share stays with the block.
 2. *Suffixes.*  The suffix at a candidate anchor, as far as its windows reach, followed by what
    its windows hold in front of the anchor, is its key.  A block sorts its keys, keeps each
    once with the smallest id that has it, and sends the run front-coded: the common prefix with
    the key before, then the rest.  A loser tree that carries common prefix lengths merges the
    runs, so that known prefixes are never compared again.  Keys that share an anchor come out
    together; the windows in them are compared in full and get the smallest id that has them.
-3. *Removal.*  Answers go back to the block that sent the run and become byte ranges.
+3. *Removal.*  Answers become byte ranges of the documents that sent the keys.
 
 A block answers by itself for every document but the smallest one that has a key, so of a
 passage in a third of all documents each block sends one copy.  Anchors in more than ``HOT``
@@ -29,7 +30,6 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,18 +39,22 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest as digest
 
 from clinsift.llm.staging import staged, width
 
 LENGTH = 50
 GRAM = 24
-HOT = 256  # documents with an anchor; above, it is dealt by windows
-_BLOCK = 1 << 23  # bytes of text in a block
+HOT = 20_000  # documents with an anchor, some MB of keys; above, it is dealt by windows
+_BLOCK = 1 << 21  # bytes of text in a block; its hashes take some 150 MB
 _KEYS = 1 << 24  # bytes of keys in a run
 _POS = np.uint64(25)  # bits of a position in a block
+_DROP = np.uint64(16)  # bits of a hash not exchanged: 48 tell anchors apart well enough, as
+# anchors that only share a hash are compared in full later
 _LAST = (1 << 63) - 1
-_OCC = np.dtype([("id", "<i8"), ("key", "<i8"), ("p", "<u4"), ("n", "u1"), ("o", "u1")])
-_CAND = np.dtype([("h", "<u8"), ("p", "<u4"), ("n", "u1"), ("o", "u1"), ("hot", "u1")])
+_OCC = np.dtype([("u", "<u4"), ("p", "<u4"), ("n", "u1"), ("o", "u1")])
+_CAND = np.dtype([("p", "<u4"), ("n", "u1"), ("o", "u1"), ("hot", "u1")])
+_DOC = np.dtype([("id", "<i8"), ("key", "<i8")])
 _RANGE = np.dtype([("p", "<u4"), ("n", "<u4")])
 _SENT = np.dtype([("id", "<i8"), ("key", "<i8"), ("p", "<u4"), ("n", "u1"), ("s", "<u4")])
 
@@ -84,18 +88,22 @@ def anchors(units: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...
     begins = np.concatenate(([0], np.cumsum([len(u) for u in units])[:-1]))
     with np.errstate(over="ignore"):
         factor = np.uint64(0x100000001B3)
-        power = [text.astype(np.uint64) + np.uint64(1)]  # hashes of 1, 2, 4, ... bytes
-        factors = [factor]
-        while 2 << (len(power) - 1) <= gram:
-            step = 1 << (len(power) - 1)
-            power.append(power[-1][:-step] * factors[-1] + power[-1][step:])
-            factors.append(factors[-1] * factors[-1])
-        hashed, done = power[-1], 1 << (len(power) - 1)
-        for bit in range(len(power) - 2, -1, -1):
-            if gram - done >= 1 << bit:
-                more = power[bit][done:]
-                hashed = hashed[: len(more)] * factors[bit] + more[: len(hashed)]
-                done += 1 << bit
+        part = text.astype(np.uint64) + np.uint64(1)  # hashes of 1, 2, 4, ... bytes
+        hashed, done, size = None, 0, 1
+        while True:
+            if gram & size:  # the bytes from ``done`` on come in front of those before
+                if hashed is None:
+                    hashed = part
+                else:
+                    n = len(text) - done - size + 1
+                    hashed = part[:n] * whole + hashed[size : size + n]
+                whole = factor if not done else whole * factor
+                done += size
+            if done == gram:
+                break
+            part = part[:-size] * factor + part[size:]
+            factor *= factor
+            size *= 2
         hashed ^= hashed >> np.uint64(31)
         hashed *= np.uint64(0x9E3779B97F4A7C15)
         hashed ^= hashed >> np.uint64(29)
@@ -123,29 +131,45 @@ def _anchor_runs(length: int, gram: int, buckets: int, block: int):
         h, unit, p, n, o = anchors([x[3] for x in held], length, gram)
         if not len(h):
             return
+        # pieces of a document are next to each other: number the documents of the block
+        docs = np.array([x[:2] for x in held], np.int64)
+        new_doc = np.concatenate(([True], (docs[1:] != docs[:-1]).any(axis=1)))
+        number = np.cumsum(new_doc) - 1
+        table = np.zeros(int(new_doc.sum()), _DOC)
+        table["id"], table["key"] = docs[new_doc].T
+        yield {"part": run % buckets, "run": run, "kind": 2, "occ": _pack(table)}
         order = np.argsort(h, kind="stable")
-        h, unit = h[order], unit[order]
+        h, unit = h[order] >> _DROP, unit[order]
         occ = np.zeros(len(h), _OCC)
-        occ["id"] = np.array([x[0] for x in held])[unit]
-        occ["key"] = np.array([x[1] for x in held])[unit]
+        occ["u"] = number[unit]
         occ["p"] = p[order] + np.array([x[2] for x in held])[unit]
         occ["n"], occ["o"] = n[order], o[order]
         first = _starts(h)
         count = np.diff(np.append(first, len(h)))
-        # distinct documents among the occurrences of a hash (they are in the order of the units)
-        new = np.concatenate(([True], (h[1:] != h[:-1]) | (occ["id"][1:] != occ["id"][:-1])))
-        docs = np.add.reduceat(new.astype(np.int64), first)
+        ids = table["id"][occ["u"]]
+        several = np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)
+        # documents with a hash; their occurrences follow each other, as the sort is stable
+        fresh = np.concatenate(([True], (h[1:] != h[:-1]) | (occ["u"][1:] != occ["u"][:-1])))
+        owners = np.where(several, np.add.reduceat(fresh.astype(np.int64), first), 1)
         part = _bucket(h[first], buckets)
+        here = np.repeat(several, count)
+        # what two documents of the block share is settled but for "many": it stays with the block
+        if here.any():
+            yield {
+                "part": run % buckets, "run": run, "kind": 1,
+                "hashes": _pack(h[here]), "occ": _pack(occ[here]),
+            }
         for b in np.unique(part):
             some = np.flatnonzero(part == b)
             lo, hi = first[some[0]], first[some[-1]] + count[some[-1]]
             yield {
+                "part": int(b),
                 "run": run,
-                "bucket": int(b),
+                "kind": 0,
                 "hashes": _pack(np.diff(h[first[some]], prepend=np.uint64(0))),
-                "docs": _pack(docs[some].astype("<u4")),
-                "counts": _pack(count[some].astype("<u4")),
-                "occ": _pack(occ[lo:hi]),
+                "docs": _pack(owners[some].astype("<u4")),
+                "counts": _pack(np.where(several, 0, count)[some].astype("<u4")),
+                "occ": _pack(occ[lo:hi][~here[lo:hi]]),
             }
 
     def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,16 +193,18 @@ def _anchor_runs(length: int, gram: int, buckets: int, block: int):
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
-    return (h >> np.uint64(40)).astype(np.int64) * buckets >> 24
+    return (h >> np.uint64(24)).astype(np.int64) * buckets >> 24
 
 
 _RUN = pa.schema(
-    [("run", pa.int64()), ("bucket", pa.int32()), *((c, pa.binary()) for c in ("hashes", "docs", "counts", "occ"))]
-)
+    [
+        ("part", pa.int32()), ("run", pa.int64()), ("kind", pa.int32()),
+        *((c, pa.binary()) for c in ("hashes", "docs", "counts", "occ")),
+    ]
+)
 _KEY_RUN = pa.schema(
     [
-        ("kind", pa.int32()), ("run", pa.int64()), ("bucket", pa.int32()),
-        *((c, pa.binary()) for c in ("keys", "ids", "sent")),
+        ("bucket", pa.int32()), *((c, pa.binary()) for c in ("keys", "ids", "sent")),
         ("id", pa.int64()), ("key", pa.int64()), ("ranges", pa.binary()),
     ]
 )
@@ -198,52 +224,64 @@ def _batches(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch
 
 
 def _shared(hot: int, group: pd.DataFrame) -> pd.DataFrame:
-    """Which hashes of each run of a bucket other documents have too: 0 no, 1 yes, 2 many."""
-    hashes = [np.cumsum(_unpack(x, "<u8"), dtype=np.uint64) for x in group["hashes"]]
-    docs = np.concatenate([_unpack(x, "<u4") for x in group["docs"]]).astype(np.int64)
-    whole = np.concatenate(hashes)
-    order = np.argsort(whole, kind="stable")
-    first = _starts(whole[order])
-    total = np.add.reduceat(docs[order], first)
-    spread = np.repeat(total, np.diff(np.append(first, len(whole))))
-    state = np.zeros(len(whole), np.uint8)
-    state[order] = (spread > 1).astype(np.uint8) + (spread > hot)
-    parts = np.split(state, np.cumsum([len(h) for h in hashes])[:-1])
-    return pd.DataFrame(
-        {"run": group["run"], "bucket": group["bucket"], "state": [_pack(s) for s in parts]}
-    )
+    """Of each run, the anchors of a bucket that other runs have, and hashes in many documents.
+
+    What a run keeps to itself (kinds 1 and 2) is passed on.
+    """
+    passed = group[group["kind"] > 0]
+    out = [passed[["run", "kind", "hashes", "occ"]]]
+    group = group[group["kind"] == 0]
+    if len(group):
+        hashes = [np.cumsum(_unpack(x, "<u8"), dtype=np.uint64) for x in group["hashes"]]
+        docs = np.concatenate([_unpack(x, "<u4") for x in group["docs"]]).astype(np.int64)
+        whole = np.concatenate(hashes)
+        order = np.argsort(whole, kind="stable")
+        first = _starts(whole[order])
+        total = np.add.reduceat(docs[order], first)
+        spread = np.repeat(total, np.diff(np.append(first, len(whole))))
+        state = np.zeros(len(whole), np.uint8)
+        state[order] = (spread > 1).astype(np.uint8) + (spread > hot)
+        rows = []
+        states = np.split(state, np.cumsum([len(h) for h in hashes])[:-1])
+        for run, h, counts, occ, st in zip(
+            group["run"], hashes, group["counts"], group["occ"], states, strict=True
+        ):
+            counts, occ = _unpack(counts, "<u4"), _unpack(occ, _OCC)
+            for kind, wanted in ((3, st == 1), (4, st == 2)):
+                some = np.repeat(wanted, counts)
+                if some.any():
+                    rows.append((run, kind, None, _pack(occ[some])))
+            if (many := h[st == 2]).size:
+                rows.append((run, 5, _pack(many), None))
+        out.append(pd.DataFrame(rows, columns=["run", "kind", "hashes", "occ"]))
+    return pd.concat(out)
 
 
 def _candidates(group: pd.DataFrame) -> pd.DataFrame:
     """The candidate anchors of each document of a run."""
-    owners, found = [], []
-    for hashes, counts, occ, state in zip(
-        group["hashes"], group["counts"], group["occ"], group["state"], strict=True
-    ):
-        counts = _unpack(counts, "<u4")
-        states = np.repeat(_unpack(state, np.uint8), counts)
-        some = states > 0
-        occ = _unpack(occ, _OCC)[some]
+    of_kind = lambda k: group[group["kind"] == k]
+    many = [_unpack(x, "<u8") for x in of_kind(5)["hashes"]]
+    many = np.concatenate(many) if many else np.empty(0, np.uint64)
+    found = [(_unpack(x, _OCC), np.uint8(0)) for x in of_kind(3)["occ"]]
+    found += [(_unpack(x, _OCC), np.uint8(1)) for x in of_kind(4)["occ"]]
+    for hashes, occ in zip(of_kind(1)["hashes"], of_kind(1)["occ"], strict=True):
+        found.append((_unpack(occ, _OCC), np.isin(_unpack(hashes, "<u8"), many)))
+    out: dict[str, list] = {"id": [], "key": [], "cand": []}
+    if found:
+        table = np.concatenate([_unpack(x, _DOC) for x in of_kind(2)["occ"]])
+        occ = np.concatenate([o for o, _ in found])
         cand = np.zeros(len(occ), _CAND)
-        cand["h"] = np.repeat(np.cumsum(_unpack(hashes, "<u8"), dtype=np.uint64), counts)[some]
         for c in ("p", "n", "o"):
             cand[c] = occ[c]
-        cand["hot"] = states[some] == 2
-        owners.append(occ[["id", "key"]])
-        found.append(cand)
-    owner, cand = np.concatenate(owners), np.concatenate(found)
-    order = np.lexsort((owner["key"], owner["id"]))
-    owner, cand = owner[order], cand[order]
-    pairs = np.stack((owner["id"], owner["key"]), axis=1)
-    first = np.flatnonzero(np.concatenate(([True], (pairs[1:] != pairs[:-1]).any(axis=1)))) if len(pairs) else []
-    ends = np.append(first[1:], len(pairs)) if len(pairs) else []
-    return pd.DataFrame(
-        {
-            "id": [int(pairs[s, 0]) for s in first],
-            "key": [int(pairs[s, 1]) for s in first],
-            "cand": [cand[s:e].tobytes() for s, e in zip(first, ends, strict=True)],
-        }
-    )
+        cand["hot"] = np.concatenate([np.broadcast_to(x, len(o)) for o, x in found])
+        order = np.argsort(occ["u"], kind="stable")
+        first = _starts(occ["u"][order])
+        for s, e in zip(first, np.append(first[1:], len(order)), strict=True):
+            doc = table[occ["u"][order[s]]]
+            out["id"].append(int(doc["id"]))
+            out["key"].append(int(doc["key"]))
+            out["cand"].append(cand[order[s:e]].tobytes())
+    return pd.DataFrame(out)
 
 
 # suffix runs --------------------------------------------------------------------------------
@@ -341,14 +379,10 @@ def merge(runs: list[tuple[list[bytes], list[int]]]) -> Iterator[tuple[bytes, in
             node //= 2
 
 
-def _window_hash(window: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little")
+def _key_runs(length: int, gram: int, buckets: int, run_bytes: int):
+    """Runs of keys with the smallest id that has each, and ranges settled in the block."""
 
-
-def _key_runs(length: int, buckets: int, run_bytes: int):
-    """Runs of keys with the smallest id (kind 1), and ranges settled in the block (kind 0)."""
-
-    def flush(run: int, keys: list[tuple[int, bytes]], where: list[tuple]) -> Iterator[dict]:
+    def flush(run: int, keys: list[bytes], where: list[tuple]) -> Iterator[dict]:
         order = sorted(range(len(keys)), key=keys.__getitem__)
         settled: dict[tuple[int, int], list[tuple[int, int]]] = {}
         sent: dict[int, tuple[list, list, list]] = {}
@@ -359,7 +393,7 @@ def _key_runs(length: int, buckets: int, run_bytes: int):
                 j += 1
             own = [where[k] for k in order[i:j]]
             low = min(w[0] for w in own)
-            bucket, key = keys[order[i]]
+            bucket, key = int.from_bytes(keys[order[i]][:4], "big"), keys[order[i]][4:]
             strings, ids, places = sent.setdefault(bucket, ([], [], []))
             for doc, text, p, n in own:
                 if doc > low:
@@ -371,15 +405,17 @@ def _key_runs(length: int, buckets: int, run_bytes: int):
             i = j
         for bucket, (strings, ids, places) in sent.items():
             yield {
-                "kind": 1, "run": run, "bucket": bucket, "keys": front_code(strings),
+                "bucket": bucket, "keys": front_code(strings),
                 "ids": _pack(np.array(ids, "<i8")), "sent": _pack(np.array(places, _SENT)),
+                "id": 0, "key": 0,  # not null, or pandas would make floats of all ids
             }
-        for (doc, text), ranges in settled.items():
-            yield {"kind": 0, "id": doc, "key": text, "ranges": np.array(ranges, _RANGE).tobytes()}
+        for n, ((doc, text), ranges) in enumerate(settled.items()):
+            ranges = np.array(ranges, _RANGE).tobytes()
+            yield {"bucket": (run + n) % buckets, "id": doc, "key": text, "ranges": ranges}
 
     def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run = TaskContext.get().partitionId() << 32
-        keys: list[tuple[int, bytes]] = []
+        run = TaskContext.get().partitionId()
+        keys: list[bytes] = []  # with the bucket in front
         where: list[tuple] = []
         size = 0
         for batch in batches:
@@ -387,14 +423,14 @@ def _key_runs(length: int, buckets: int, run_bytes: int):
                 doc, text_key = doc.as_py(), text_key.as_py()
                 raw = text.as_py().encode("utf-8", "surrogatepass")
                 cand = np.unique(np.frombuffer(b"".join(lists.as_py()), _CAND))
-                parts = _bucket(cand["h"], buckets).tolist()
-                for (h, p, n, o, hot), part in zip(cand.tolist(), parts, strict=True):
+                for p, n, o, hot in cand.tolist():
+                    part = digest(raw[p + o : p + o + gram]) % buckets
                     for q, m, back in ((p + i, 1, o - i) for i in range(n)) if hot else ((p, n, o),):
                         if hot:
-                            part = _window_hash(raw[q : q + length]) % buckets
+                            part = digest(raw[q : q + length]) % buckets
                         a = q + back
                         key = raw[a : q + m - 1 + length] + raw[q:a] + bytes((back, m))
-                        keys.append((part, key))
+                        keys.append(part.to_bytes(4, "big") + key)
                         where.append((doc, text_key, q, m))
                         size += len(key)
                 if size >= run_bytes:
@@ -414,7 +450,7 @@ def _windows(key: bytes, length: int) -> list[bytes]:
 
 
 def _answers(length: int, gram: int):
-    """For each key of each run, the windows that a smaller id has: a bit mask."""
+    """Of a bucket's runs, the windows that a smaller id has, as ranges of the senders."""
 
     def settle(group: list[tuple[bytes, int, int]], ids: list[list[int]], masks: list[np.ndarray]) -> None:
         """``group``: key, run, place of all keys with one anchor; equal keys are neighbours."""
@@ -439,6 +475,10 @@ def _answers(length: int, gram: int):
             masks[r][i] = mask
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        settled = group[group["keys"].isna()][["id", "key", "ranges"]]
+        group = group[group["keys"].notna()]
+        if not len(group):
+            return settled
         runs = [front_decode(k) for k in group["keys"]]
         ids = [_unpack(x, "<i8").tolist() for x in group["ids"]]
         masks = [np.zeros(len(x), "<u8") for x in ids]
@@ -450,36 +490,26 @@ def _answers(length: int, gram: int):
             held.append((key, r, i))
         if held:
             settle(held, ids, masks)
-        return pd.DataFrame(
-            {"run": group["run"], "bucket": group["bucket"], "masks": [_pack(m) for m in masks]}
-        )
+        told = [x for sent, mask in zip(group["sent"], masks, strict=True) for x in _ranges(sent, mask)]
+        return pd.concat([settled, pd.DataFrame(told, columns=["id", "key", "ranges"])])
 
     return run
 
 
-def _removals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Answers as byte ranges of the documents that sent the keys."""
-    for batch in batches:
-        for sent, masks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            sent = _unpack(sent, _SENT)
-            mask = _unpack(masks, "<u8")[sent["s"]]
-            ranges: dict[tuple[int, int], list[tuple[int, int]]] = {}
-            some = mask > 0
-            for (doc, key, p, n, _), m in zip(sent[some].tolist(), mask[some].tolist(), strict=True):
-                own = ranges.setdefault((doc, key), [])
-                if m == (1 << n) - 1:
-                    own.append((p, n))
-                else:
-                    own.extend((p + i, 1) for i in range(n) if m >> i & 1)
-            if ranges:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([k[0] for k in ranges], pa.int64()),
-                        pa.array([k[1] for k in ranges], pa.int64()),
-                        pa.array([np.array(v, _RANGE).tobytes() for v in ranges.values()], pa.binary()),
-                    ],
-                    names=["id", "key", "ranges"],
-                )
+def _ranges(sent: bytes, mask: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """The masks of a run's keys as byte ranges of the documents that have them."""
+    places = _unpack(sent, _SENT)
+    mask = mask[places["s"]]
+    some = mask > 0
+    ranges: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for (doc, key, p, n, _), m in zip(places[some].tolist(), mask[some].tolist(), strict=True):
+        own = ranges.setdefault((doc, key), [])
+        if m == (1 << n) - 1:
+            own.append((p, n))
+        else:
+            own.extend((p + i, 1) for i in range(n) if m >> i & 1)
+    for (doc, key), own in ranges.items():
+        yield doc, key, np.array(own, _RANGE).tobytes()
 
 
 def _cut(length: int):
@@ -526,46 +556,30 @@ def remove_repeats(
         F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     ).withColumn("key", F.xxhash64("text"))
-    runs = staged(
-        rows.select("id", "key", "text").mapInArrow(
-            _anchor_runs(length, gram, buckets, block),
-            "run long, bucket int, hashes binary, docs binary, counts binary, occ binary",
-        ),
-        "anchor_runs",
+    runs = rows.select("id", "key", "text").mapInArrow(
+        _anchor_runs(length, gram, buckets, block),
+        "part int, run long, kind int, hashes binary, docs binary, counts binary, occ binary",
     )
-    states = runs.select("run", "bucket", "hashes", "docs").groupBy("bucket").applyInPandas(
-        lambda group: _shared(hot, group), "run long, bucket int, state binary"
+    shared = runs.groupBy("part").applyInPandas(
+        lambda group: _shared(hot, group), "run long, kind int, hashes binary, occ binary"
     )
-    candidates = (
-        runs.select("run", "bucket", "hashes", "counts", "occ")
-        .join(states, ["run", "bucket"])
-        .groupBy("run")
-        .applyInPandas(_candidates, "id long, key long, cand binary")
+    candidates = shared.groupBy("run").applyInPandas(
+        _candidates, "id long, key long, cand binary"
     )
+    # rows that repeat a document may lie in several runs
     by_doc = candidates.groupBy("id", "key").agg(F.collect_list("cand").alias("cand"))
-    keyed = staged(
+    found = (
         rows.join(staged(by_doc, "candidates"), ["id", "key"])
         .select("id", "key", "text", "cand")
         .mapInArrow(
-            _key_runs(length, buckets, run_bytes),
-            "kind int, run long, bucket int, keys binary, ids binary, sent binary,"
-            " id long, key long, ranges binary",
-        ),
-        "key_runs",
-    )
-    sent = keyed.where("kind = 1")
-    answers = sent.select("run", "bucket", "keys", "ids").groupBy("bucket").applyInPandas(
-        _answers(length, gram), "run long, bucket int, masks binary"
-    )
-    told = (
-        sent.select("run", "bucket", "sent")
-        .join(answers, ["run", "bucket"])
-        .select("sent", "masks")
-        .mapInArrow(_removals, "id long, key long, ranges binary")
+            _key_runs(length, gram, buckets, run_bytes),
+            "bucket int, keys binary, ids binary, sent binary, id long, key long, ranges binary",
+        )
+        .groupBy("bucket")
+        .applyInPandas(_answers(length, gram), "id long, key long, ranges binary")
     )
-    settled = keyed.where("kind = 0").select("id", "key", "ranges")
     ranges = staged(
-        settled.union(told).groupBy("id", "key").agg(F.collect_list("ranges").alias("ranges")),
+        found.groupBy("id", "key").agg(F.collect_list("ranges").alias("ranges")),
         "ranges",
     )
     return (
