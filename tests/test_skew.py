@@ -46,8 +46,10 @@ def skewed(spark):
             "site_id", F.when(hot.isNotNull(), 2).otherwise(F.col("site_id")).cast("int")
         )
 
-    t = t.with_table("obs", stage(move(t.obs, "person_id"), "obs"))
-    return t.with_table("encounter", stage(move(t.encounter, "patient_id"), "encounter"))
+    # several files, so several map tasks: adaptive execution cuts between their outputs
+    t = t.with_table("obs", stage(move(t.obs, "person_id").repartition(8), "obs"))
+    encounter = move(t.encounter, "patient_id").repartition(8)
+    return t.with_table("encounter", stage(encounter, "encounter"))
 
 
 def rows(df):
@@ -86,6 +88,7 @@ def test_hot_client_is_dealt_over_the_salts(spark, skewed):
 def test_adaptive_execution_can_cut_the_hot_partition(spark, skewed):
     with shuffled(
         spark,
+        spark__sql__files__maxPartitionBytes="200KB",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="10KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.2",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
