@@ -145,7 +145,8 @@ def guests(fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
 
 def forest(residents: np.ndarray, visitors: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Edges that join all residents and visitors of an anchor that links connect."""
-    near = lambda many, one: np.bitwise_count(many ^ one) <= distance
+    # unsigned, as numpy counts the bits of a negative number's absolute value
+    near = lambda many, one: np.bitwise_count((many ^ one).view(np.uint64)) <= distance
     fresh_r, fresh_v = np.ones(len(residents), bool), np.ones(len(visitors), bool)
     edges = []
     for root in range(len(residents)):

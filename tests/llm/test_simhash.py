@@ -65,6 +65,16 @@ def test_forest_joins_what_links_join():
     assert {frozenset(e) for e in forest(r, v, 2)} and len(forest(r, v, 2)) < 9
 
 
+def test_forest_counts_the_top_bit_like_any_other():
+    at = np.uint64(0x0123456789ABCDEF)
+    differing = [{63}, *({63, k} for k in range(63)), *(set(range(64 - n, 64)) for n in range(3, 19))]
+    for bits in differing:
+        a, b = (np.array([x], np.uint64).view(np.int64) for x in (at, at ^ np.uint64(sum(1 << k for k in bits))))
+        ends = {int(a[0]), int(b[0])}
+        for edges in (forest(a, b, 2), forest(b, a, 2)):
+            assert [set(e) for e in edges] == ([ends] if len(bits) <= 2 else []), bits
+
+
 def test_components_of_chains_stars_and_cycles(spark):
     r = random.Random(2)
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(200, 201), (201, 202), (202, 200)]
