@@ -3,9 +3,9 @@
 Base spans are e-mail addresses, IP addresses, card numbers (Luhn) and phone numbers, found by
 pattern from left to right, each kind by itself.  The information-theoretic part then looks at
 the words near base spans.  A value is an entity with information content
-``IC(e) = -log2 p(e)``; a word discloses ``PMI(e; t) = log2 p(e, t) / (p(e) p(t))`` of it.  Where
-that is at least ``disclosure`` of ``IC(e)`` and word and value meet ``support`` times or more,
-the word's occurrences near the value become spans of kind ``term``.  Probabilities come from
+``IC(e) = -log2 p(e)``; a word (a run of letters and digits of any length) discloses ``PMI(e; t) = log2 p(e, t) / (p(e) p(t))`` of it.  Where
+that is at least ``disclosure`` of ``IC(e)`` (and word and value meet ``support`` times or
+more, by default once: the share alone decides), the word's occurrences near the value become spans of kind ``term``.  Probabilities come from
 counts over the whole corpus: all its words, all base spans, all pairs within ``REACH``
 characters.  In sanitised text base spans become their kind's label, disclosing words the
 label ``[WORD]``, and words that never occur without the value (all of IC) are removed.
@@ -34,8 +34,9 @@ _IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 _CARD = r"[0-9](?:[\x20-]?+[0-9]){11,}+"  # shorter runs of digits fail anyway
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "term")
-_WORD = r"\p{L}{4,}+"
-_NOT_LETTERS = r"[^\p{L}]+"
+_IN_WORD = r"[\p{L}\p{N}]"
+_WORD = _IN_WORD + "++"
+_NOT_WORD = r"[^\p{L}\p{N}]+"
 REACH = 64
 _STEP = 64  # lengths summed one by one; longer lists by blocks of this
 
@@ -136,9 +137,13 @@ def _terms_near(text: Column, spans: Column) -> Column:
         low = F.greatest(F.lit(0), span["start"] - REACH)
         left = F.substring(text, low + 1, span["start"] - low)
         right = F.substring(text, span["end"] + 1, F.lit(REACH))
-        # a word at the far edge may be cut
-        lefts = F.filter(find_all(left, _WORD), lambda w: (w["start"] > 0) | (low == 0))
-        rights = F.filter(find_all(right, _WORD), lambda w: w["end"] < REACH)
+        # a word at the far edge may be cut, one at the near edge may be part of the span's word
+        first, last = (F.substring(text, at, F.lit(1)).rlike(_IN_WORD) for at in (span["start"] + 1, span["end"]))
+        lefts = F.filter(
+            find_all(left, _WORD),
+            lambda w: ((w["start"] > 0) | (low == 0)) & ((w["end"] < span["start"] - low) | ~first),
+        )
+        rights = F.filter(find_all(right, _WORD), lambda w: (w["end"] < REACH) & ((w["start"] > 0) | ~last))
         placed = lambda words, at: F.transform(
             words,
             lambda w: F.struct(
@@ -158,10 +163,10 @@ def _terms_near(text: Column, spans: Column) -> Column:
 
 
 def _word_counts(docs: DataFrame) -> DataFrame:
-    words = docs.select(F.explode(F.split(F.lower("text"), _NOT_LETTERS)).alias("word"))
+    words = docs.select(F.explode(F.split("text", _NOT_WORD)).alias("word"))
     return (
-        words.where(F.length("word") >= 4)
-        .groupBy(F.xxhash64("word").alias("term"))
+        words.where("word != ''")
+        .groupBy(F.xxhash64(F.lower("word")).alias("term"))
         .agg(F.count("*").alias("n_term"))
     )
 
@@ -169,7 +174,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 def find_pii(
     docs: DataFrame,
     disclosure: float = 0.95,
-    support: int = 2,
+    support: int = 1,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:

@@ -69,3 +69,22 @@ def test_words_that_give_a_value_away(spark):
     assert clean[302] == "common [EMAIL]" and clean[0] == texts[0] and clean[305] is None
     assert sanitise(df, found).columns == df.columns
     assert find_pii(df.limit(0)).count() == 0
+
+
+def test_short_words_digits_and_single_meetings(spark):
+    texts = [f"common words {'abcdefghij'[i % 10] * 5}" for i in range(300)]
+    told = {
+        "Kim": "Kim common k.m@example.org",
+        "金": "金 common j@example.org",
+        "A4711": "common words A4711 +1 (706) 555-3138",
+        "Once": "Once common o.n@example.org",
+    }
+    df = spark.createDataFrame(list(enumerate(texts + list(told.values()))), "doc_id long, text string")
+    rows = {x.doc_id: x.terms for x in find_pii(df).collect()}
+    for i, (word, text) in enumerate(told.items(), 300):
+        assert [text[t.start : t.end] for t in rows[i]] == [word]
+
+
+def test_a_word_that_a_value_cuts_is_no_word(spark):
+    df = spark.createDataFrame([(0, "v1.2.3.4 éa@b.cé")], "doc_id long, text string")
+    assert find_pii(df).first().terms == []
