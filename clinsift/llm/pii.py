@@ -5,11 +5,15 @@ pattern from left to right, each kind by itself.  The information-theoretic part
 the words near base spans.  A value is an entity with information content
 ``IC(e) = -log2 p(e)``; a word (a run of letters and digits of any length) discloses ``PMI(e; t) = log2 p(e, t) / (p(e) p(t))`` of it.  Where
 that is at least ``disclosure`` of ``IC(e)`` (and word and value meet ``support`` times or
-more, by default once: the share alone decides), the word's occurrences near the value become spans of kind ``term``.  Probabilities come from
+more, by default once: the share alone decides), all occurrences of the word, in any row, become
+spans of kind ``term``, but those inside base spans.  Probabilities come from
 counts over the whole corpus: all its words, all base spans, all pairs within ``REACH``
 characters.  In sanitised text base spans become their kind's label, disclosing words the
 label ``[WORD]``, and words that never occur without the value (all of IC) are removed.
 
+Telling words with occurrences elsewhere than near values are looked for in all texts, in
+blocks of ``BLOCK`` words; a block is broadcast, and the documents are read once per block.
+
 Everything is built-in DataFrame functions.  Only pairs inside a span's bounded surroundings
 are formed.  Counts have map-side combine; values and words are compared by 64-bit hashes.
 
@@ -21,6 +25,7 @@ points, ends exclusive.  An empty table gives an empty result; extra columns are
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +43,7 @@ _IN_WORD = r"[\p{L}\p{N}]"
 _WORD = _IN_WORD + "++"
 _NOT_WORD = r"[^\p{L}\p{N}]+"
 REACH = 64
+BLOCK = 200_000
 _STEP = 64  # lengths summed one by one; longer lists by blocks of this
 
 
@@ -59,7 +65,7 @@ def _before(lengths: Column) -> Callable[[Column], Column]:
     )
 
 
-def find_all(text: Column, pattern: str, when: Column | None = None) -> Column:
+def find_all(text: Column, pattern: str | Column, when: Column | None = None) -> Column:
     """``start, end, value`` of all matches, from left to right."""
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -171,12 +177,40 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     )
 
 
+def _elsewhere(texts: DataFrame, words: DataFrame, block: int) -> DataFrame:
+    """``doc_id, text_hash, far``: places of the words of ``term, share`` in all texts."""
+    blocks = max(1, -(-words.count() // block))
+    keyed = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    each = keyed.select(
+        "doc_id", "text_hash", F.explode(F.array_distinct(F.split("text", _NOT_WORD))).alias("word")
+    ).where("word != ''")
+    each = each.withColumn("term", F.xxhash64(F.lower("word")))
+    parts = [words.where(F.pmod("term", F.lit(blocks)) == n) for n in range(blocks)]
+    hits = reduce(DataFrame.union, (each.join(F.broadcast(some), "term").drop("term") for some in parts))
+    hits = hits.select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "word", "share"
+    ).distinct()
+    # written, so that its size is known when the texts with a word are picked
+    with_text = keyed.join(
+        staged(hits, "hits"),
+        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")),
+    )
+    whole = F.concat(F.lit(f"(?<!{_IN_WORD})"), "word", F.lit(f"(?!{_IN_WORD})"))
+    places = with_text.select("doc_id", "text_hash", "share", F.explode(find_all(F.col("text"), whole)).alias("w"))
+    return (
+        places.select("doc_id", "text_hash", F.struct("w.start", "w.end", "share").alias("t"))
+        .groupBy("doc_id", "text_hash")
+        .agg(F.collect_set("t").alias("far"))
+    )
+
+
 def find_pii(
     docs: DataFrame,
     disclosure: float = 0.95,
     support: int = 1,
     id_col: str = "doc_id",
     text_col: str = "text",
+    block: int = BLOCK,
 ) -> DataFrame:
     """``doc_id, text_hash, base, terms`` of every row.
 
@@ -213,20 +247,36 @@ def find_pii(
     content = F.log2(F.greatest(F.col("total"), F.col("n_entity") + 1) / F.col("n_entity"))
     share = F.lit(1.0) - F.log2(F.col("n_term") / F.least("n_pair", "n_term")) / content
     telling = staged(
-        told.select("entity", "term", share.alias("share")).where(F.col("share") >= disclosure),
+        told.select("term", "n_term", share.alias("share"))
+        .where(F.col("share") >= disclosure)
+        .groupBy("term")
+        .agg(F.max("share").alias("share"), F.max("n_term").alias("n_term")),
         "telling",
     )
-    spans = (
-        met.join(telling, ["entity", "term"])
-        .groupBy("row", "start", "end")
-        .agg(F.max("share").alias("share"))
-        .groupBy("row")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "end", "share"))).alias("terms"))
+    close = staged(
+        met.join(telling.select("term", "share"), "term").select("row", "term", "start", "end", "share").distinct(),
+        "close",
     )
+    # words that occur near values only are all found by now
+    seen = close.groupBy("term").agg(F.count("*").alias("n_close"))
+    more = telling.join(seen, "term", "left").where(F.coalesce("n_close", F.lit(0)) < F.col("n_term"))
+    far = _elsewhere(texts, staged(more.select("term", "share"), "scattered"), block)
+    spans = close.groupBy("row").agg(F.collect_list(F.struct("start", "end", "share")).alias("close"))
     none = F.array().cast("array<struct<start:int,end:int,share:double>>")
-    return rows.drop("near").join(spans, "row", "left").select(
-        "doc_id", "text_hash", "base", F.coalesce("terms", none).alias("terms")
+    found = (
+        rows.drop("near")
+        .join(spans, "row", "left")
+        .join(
+            far.withColumnRenamed("doc_id", "_id").withColumnRenamed("text_hash", "_hash"),
+            F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")),
+            "left",
+        )
+    )
+    outside = F.filter(
+        F.array_union(F.coalesce("close", none), F.coalesce("far", none)),
+        lambda t: ~F.exists("base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])),
     )
+    return found.select("doc_id", "text_hash", "base", F.sort_array(outside).alias("terms"))
 
 
 def listed(spans: Column) -> Column:

@@ -88,3 +88,17 @@ def test_short_words_digits_and_single_meetings(spark):
 def test_a_word_that_a_value_cuts_is_no_word(spark):
     df = spark.createDataFrame([(0, "v1.2.3.4 éa@b.cé")], "doc_id long, text string")
     assert find_pii(df).first().terms == []
+
+
+def test_telling_words_far_from_the_value(spark):
+    texts = [f"common words {'abcdefghij'[i % 10] * 5}" for i in range(3000)]
+    told = ["Zel common q@example.org " + "common " * 20 + "zel", "ZEL's words", "common Zelda zel.zel@other.org"]
+    rows = [*enumerate(texts + told + ["Zel common q@example.org"] * 20), (None, told[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for block in (1, 1000):
+        found = find_pii(df, block=block).collect()
+        assert len(found) == len(rows)
+        terms = {x.doc_id: [(t.start, t.end) for t in x.terms] for x in found}
+        assert terms[3000] == [(0, 3), (165, 168)]
+        assert (0, 3) in terms[3001] and terms[None] == terms[3001]
+        assert all(a < 13 for a, _ in terms[3002]) and terms[0] == []
