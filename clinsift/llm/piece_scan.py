@@ -182,32 +182,30 @@ class Pieces:
     # chunks -------------------------------------------------------------------------------
 
     def matrix(self, chunk: str, ahead: str, lead: int) -> np.ndarray:
-        """Best score from each entry to each exit state, up to a constant of the chunk."""
+        """Best score from each entry to each exit state, scaled so that the greatest is 0."""
         size, n = self.longest, len(chunk)
         text = chunk + ahead
-        out = np.full((size, size), _NEVER)
+        found: list[list[int | None]] = [[None] * size for _ in range(size)]
         first, final = chunk.find(MARK), chunk.rfind(MARK)
         if first < 0:
             for e in range(min(size, n + 1)):
-                out[e] = self._exits(text, e, n, lead)
+                found[e] = self._exits(text, e, n, lead)
             for e in range(n + 1, size):  # a piece that spans the whole chunk
-                out[e, e - n] = 0
-            return out
-        exits = self._exits(text, final, n, -final)
-        for e in range(min(size, first + 1)):
-            value = self.forward(text, e, first, first, lead)[0][first]
-            if value is not None:
-                out[e] = np.where(exits > _NEVER, exits + value, _NEVER)
-        return out
-
-    def _exits(self, text: str, start: int, n: int, lead: int) -> np.ndarray:
+                found[e][e - n] = 0
+        else:
+            exits = self._exits(text, final, n, -final)
+            for e in range(min(size, first + 1)):
+                value = self.forward(text, e, first, first, lead)[0][first]
+                if value is not None:
+                    found[e] = [x if x is None else x + value for x in exits]
+        # long chunks go beyond 64 bits until they are scaled
+        top = max((x for row in found for x in row if x is not None), default=0)
+        return np.array([[_NEVER if x is None else x - top for x in row] for row in found], np.int64)
+
+    def _exits(self, text: str, start: int, n: int, lead: int) -> list[int | None]:
         stop = min(len(text), n + self.longest - 1)
         value = self.forward(text, start, stop, n, lead)[0]
-        out = np.full(self.longest, _NEVER)
-        for x in range(self.longest):
-            if n + x <= stop and value[n + x] is not None:
-                out[x] = value[n + x]
-        return out
+        return [value[n + x] if n + x <= stop else None for x in range(self.longest)]
 
     def chunk_ids(self, chunk: str, ahead: str, lead: int, entry: int, leave: int) -> bytes:
         """Ids of the pieces that begin in the chunk, given both border states."""
@@ -232,8 +230,8 @@ def pieces_of(path: str) -> Pieces:
 
 def multiply(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The max-plus product, scaled so that its greatest entry is 0."""
-    best = (a[:, :, None] + b[None, :, :]).max(axis=1)
-    best = np.where(best > _NEVER // 2, best, _NEVER)
+    reached = (a[:, :, None] > _NEVER) & (b[None, :, :] > _NEVER)
+    best = np.where(reached, a[:, :, None] + b[None, :, :], _NEVER).max(axis=1)
     top = best.max()
     return np.where(best > _NEVER, best - top, _NEVER) if top > _NEVER else best
 

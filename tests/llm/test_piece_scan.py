@@ -100,3 +100,27 @@ def test_chunks_give_the_ids_of_the_whole(spark, pieces, texts, chunk):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert decode(encode(df, MODEL), MODEL).count() == 0
+
+
+def by_chunks(pieces, text, chunk):
+    rows = pa.RecordBatch.from_pydict({"row": [0], "text": [text]})
+    cut = [x for b in piece_scan._chunks(chunk, pieces.longest)(iter([rows])) for x in b.to_pylist()]
+    matrices = [pieces.matrix(x["text"], x["ahead"], x["lead"]) for x in cut]
+    whole = matrices[0]
+    for m in matrices[1:]:
+        whole = multiply(whole, m)
+    assert whole[0, 0] > piece_scan._NEVER
+    states = border_states(matrices, 0, 0)
+    found = [
+        pieces.chunk_ids(x["text"], x["ahead"], x["lead"], a, b)
+        for x, a, b in zip(cut, states, states[1:], strict=False)
+    ]
+    return np.frombuffer(b"".join(found), "<i4").tolist()
+
+
+def test_full_chunks_of_rare_characters(pieces):
+    rare = max(pieces.pieces, key=lambda p: (len(p) == 1 and p != MARK and ord(p) > 0x3000, -pieces.pieces[p][1]))
+    assert len(rare) == 1
+    r = random.Random(5)
+    text = "".join(r.choice([rare, "\U00020000", "the"]) for _ in range(3 * piece_scan.CHUNK // 2))
+    assert by_chunks(pieces, text, piece_scan.CHUNK) == pieces.trace(MARK + text, 0, len(text) + 1, len(text) + 1, 0)
