@@ -9,9 +9,9 @@ formed first, the border states of these groups follow from one short row of pro
 document, those of the chunks from the matrices of one group, and then every chunk is traced
 back by itself between its two states.  Documents of one chunk are traced back right away.
 
-Blanks are the piece mark U+2581, one is put in front, and no piece of the lattice
-has the mark inside (pieces of several marks are left out), so there is a cut before each mark;
-words are solved once and remembered (in a bounded table).  Scores below ``FLOOR``, which
+Blanks are the piece mark U+2581, one is put in front, and no piece has a mark after another
+character, so there is a cut before each run of marks; words with the marks before them are
+solved once and remembered (in a bounded table).  Scores below ``FLOOR``, which
 stand for "last resort", count as ``FLOOR``.  Of equally good cuts, the one with the least
 sum of fixed weights of its cut positions within the word is taken, so that the result does
 not depend on where chunks end.
@@ -50,6 +50,29 @@ _WORDS = 250_000  # words remembered by one worker, some 60 MB
 _CUTS = [int(x) for x in np.random.default_rng(11).integers(1, 1 << 14, 4096)]
 
 
+def _with_marks(words: list[str]) -> list[str]:
+    out, marks = [], 0
+    for word in words:
+        if word:
+            out.append(MARK * marks + word)
+            marks = 0
+        else:
+            marks += 1
+    return [*out, MARK * (marks - 1)] if marks else out
+
+
+def _first_cut(text: str) -> int:
+    """The first place with a mark after another character, -1 if there is none."""
+    rest = text.lstrip(MARK)
+    at = rest.find(MARK)
+    return at if at < 0 else at + len(text) - len(rest)
+
+
+def _last_cut(text: str) -> int:
+    """The last place with a mark after another character, -1 if there is none."""
+    return len(text[: text.rfind(MARK) + 1].rstrip(MARK)) or -1
+
+
 class Pieces:
     """The lattice of a vocabulary."""
 
@@ -69,11 +92,11 @@ class Pieces:
                 continue
             special = model.is_control(i) or model.is_unknown(i) or model.is_unused(i)
             self.shown.append(b"" if special else piece.replace(MARK, " ").encode())
-            if not special and (piece == MARK or piece.strip(MARK)):
+            if not special:
                 score = round(max(model.get_score(i), FLOOR))
                 self.pieces[piece] = (i, score * _SCALE)
                 self.scores[i] = score
-        if any(MARK in p[1:] for p in self.pieces):
+        if any(MARK in p.lstrip(MARK) for p in self.pieces):
             raise ValueError("a piece has the word mark inside")
         self.longest = max(map(len, self.pieces), default=1)
         # a trie: character -> (next level, id, score), id and score None inside pieces only
@@ -125,7 +148,7 @@ class Pieces:
         root, cuts, pieces = self.root, _CUTS, self.pieces
         for i in range(n):
             base, level, j = value[i], root, i
-            for char in unit[i:]:
+            for char in unit[i : i + self.longest]:
                 step = level.get(char)
                 if step is None:
                     break
@@ -162,7 +185,12 @@ class Pieces:
         return [i for some in reversed(ids) for i in some]
 
     def words(self, words: list[str]) -> bytes:
-        """Ids, as little-endian 32-bit numbers, of words that each follow a blank."""
+        """Ids, as little-endian 32-bit numbers, of words that each follow a blank.
+
+        Empty words (between two blanks) become marks of the word after them.
+        """
+        if "" in words:
+            words = _with_marks(words)
         known = self._words
         if len(known) > _WORDS:
             known.clear()
@@ -186,7 +214,7 @@ class Pieces:
         size, n = self.longest, len(chunk)
         text = chunk + ahead
         found: list[list[int | None]] = [[None] * size for _ in range(size)]
-        first, final = chunk.find(MARK), chunk.rfind(MARK)
+        first, final = _first_cut(chunk), _last_cut(chunk)
         if first < 0:
             for e in range(min(size, n + 1)):
                 found[e] = self._exits(text, e, n, lead)
@@ -210,7 +238,7 @@ class Pieces:
     def chunk_ids(self, chunk: str, ahead: str, lead: int, entry: int, leave: int) -> bytes:
         """Ids of the pieces that begin in the chunk, given both border states."""
         n, text = len(chunk), chunk + ahead
-        first, final = chunk.find(MARK), chunk.rfind(MARK)
+        first, final = _first_cut(chunk), _last_cut(chunk)
         pack = lambda ids: np.array(ids, "<i4").tobytes()
         if first < 0:
             return pack(self.trace(text, entry, n + leave, n, lead)) if entry <= n else b""
@@ -261,7 +289,9 @@ def _chunks(chunk: int, longest: int):
                 starts = range(0, len(text), chunk)
                 word, leads = 0, []
                 for s in starts:
-                    word = max(word, text.rfind(MARK, max(0, s - chunk), s + 1))
+                    low = max(0, s - chunk)
+                    cut = _last_cut(text[low : s + 1])
+                    word = word if cut < 0 else low + cut
                     leads.append(s - word)
                 for at in range(0, len(starts), 64):
                     some = starts[at : at + 64]

@@ -124,3 +124,25 @@ def test_full_chunks_of_rare_characters(pieces):
     r = random.Random(5)
     text = "".join(r.choice([rare, "\U00020000", "the"]) for _ in range(3 * piece_scan.CHUNK // 2))
     assert by_chunks(pieces, text, piece_scan.CHUNK) == pieces.trace(MARK + text, 0, len(text) + 1, len(text) + 1, 0)
+
+
+def test_runs_of_blanks_are_scored_as_by_the_library(pieces, texts):
+    proto = pytest.importorskip("sentencepiece.sentencepiece_model_pb2").ModelProto()
+    with open(MODEL, "rb") as f:
+        proto.ParseFromString(f.read())
+    proto.trainer_spec.model_type = 1
+    for p in proto.pieces:
+        p.score = max(p.score, piece_scan.FLOOR)
+    library = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+    r = random.Random(7)
+    some = [" " * n for n in range(1, 40)] + ["a" + " " * n + "b" for n in range(40)]
+    for text in texts[:30]:
+        some.append("".join(w + " " * r.choice([1, 1, 2, 4, 9, 17, 33]) for w in text.split(" ")[:30] if w.isascii()))
+    for text in some:
+        found, theirs = ids(pieces, text), library.encode(text)
+        assert pieces.scores[found].sum() == pieces.scores[theirs].sum()
+    assert ids(pieces, "a" + " " * 16 + "b") != ids(pieces, "a b") and len(ids(pieces, " " * 15)) == 1
+    for text in [*some, "  x" * 9 + " " * 50]:
+        for chunk in (1, 2, 3, 7, 16, 64):
+            assert by_chunks(pieces, text, chunk) == ids(pieces, text)
+        assert pieces.decode(pa.array(ids(pieces, text), pa.int32())) == text
