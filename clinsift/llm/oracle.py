@@ -81,5 +81,49 @@ from escaped group by conv_id
 """
 
 
+def _op11(k: int = 40, rounds: int = 5) -> str:
+    """Centroid clustering by all distances: rounds unrolled, every vector against every centroid."""
+    parts = [
+        """with kept as (
+    select row_number() over () as r, vec_id,
+        list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+    from embeddings
+    where len(embedding) = 64 and list_bool_and(list_transform(embedding,
+        lambda x: x is not null and 256 * x::double >= 1 - 16777216 and 256 * x::double < 16777216))),
+kx as (select r, unnest(v) as x, generate_subscripts(v, 1) as i from kept),
+seeds as (
+    select row_number() over (order by sha256('2:' || vec_id::varchar) nulls last, v) - 1 as c, v
+    from kept order by sha256('2:' || vec_id::varchar) nulls last, v limit %d),
+c0 as (select c, unnest(v) as x, generate_subscripts(v, 1) as i from seeds)""" % k
+    ]
+    for t in range(rounds + 1):
+        parts.append(
+            f"""d{t} as (
+    select kx.r, c{t}.c, sum((kx.x - c{t}.x) * (kx.x - c{t}.x))::bigint as dist
+    from kx join c{t} using (i) group by kx.r, c{t}.c),
+a{t} as (select r, first(c order by dist, c) as c, min(dist) as dist from d{t} group by r)"""
+        )
+        if t < rounds:
+            parts.append(
+                f"""s{t} as (
+    select a{t}.c, kx.i, sum(kx.x) as s, count(*) as n from a{t} join kx using (r) group by a{t}.c, kx.i),
+c{t + 1} as (
+    select c, i, ((s - ((s % n + n) % n)) // n)::bigint as x from s{t}
+    union all select c, i, x from c{t} where c not in (select c from a{t}))"""
+            )
+    parts.append(
+        f"""digests as (
+    select c, sha256(string_agg(x::varchar, ',' order by i)) as centroid_sha256 from c{rounds} group by c),
+inertias as (select c, sum(dist)::bigint as cluster_inertia from a{rounds} group by c)"""
+    )
+    body = ",\n".join(parts)
+    return body + f"""
+select kept.vec_id, a.c::integer as cluster, a.dist as distance, inertias.cluster_inertia,
+    (sum(a.dist) over ())::bigint as inertia, digests.centroid_sha256
+from a{rounds} a join kept using (r) join inertias using (c) join digests using (c)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": _OP1, "op3_decontaminate": _OP3, "op5_exact_dedup": _OP5, "op7_chat_format": _OP7}
+    return {"op1_url_filter": _OP1, "op3_decontaminate": _OP3, "op5_exact_dedup": _OP5, "op7_chat_format": _OP7,
+            "op11_centroids": _op11()}

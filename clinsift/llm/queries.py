@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clinsift.llm.centroids import cluster_report
 from clinsift.llm.chat import fold, formatted, masked_text, render, turns
 from clinsift.llm.decontaminate import overlaps
 from clinsift.llm.exact_dedup import exact_groups
@@ -130,6 +131,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_report(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256, salt="2")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -144,5 +149,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_token_files,
             op9_suffix_dedup,
             op10_sentencepiece,
+            op11_centroids,
         )
     }

@@ -1,0 +1,96 @@
+import hashlib
+import math
+import random
+
+import numpy as np
+
+from clinsift.llm.centroids import cluster_report, nearest
+
+
+def order(row):
+    return (row[0] is None, row[0] or 0, row[1:])
+
+
+def plain(rows, k=40, rounds=5):
+    """Every vector against every centroid, in Python integers."""
+    kept = [(i, [math.floor(256 * float(x)) for x in v]) for i, v in rows
+            if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) and abs(x) < 60000 for x in v)]
+    if not kept:
+        return {}
+    key = lambda r: (hashlib.sha256(f"2:{r[0]}".encode()).hexdigest() if r[0] is not None else "￿", r[1])
+    cents = [list(v) for _, v in sorted(kept, key=key)[:k]]
+
+    def assign():
+        out = []
+        for _, v in kept:
+            ds = [sum((a - b) ** 2 for a, b in zip(v, c)) for c in cents]
+            best = min(ds)
+            out.append((ds.index(best), best))
+        return out
+
+    for _ in range(rounds):
+        got = assign()
+        for c in range(len(cents)):
+            members = [v for (_, v), (a, _) in zip(kept, got) if a == c]
+            if members:
+                cents[c] = [sum(col) // len(members) for col in zip(*members)]
+    got = assign()
+    per = {}
+    for a, d in got:
+        per[a] = per.get(a, 0) + d
+    total = sum(per.values())
+    digest = lambda c: hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()
+    return sorted(((i, a, d, per[a], total, digest(cents[a])) for (i, _), (a, d) in zip(kept, got)), key=order)
+
+
+def run(spark, rows, **kw):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    return sorted((tuple(r) for r in cluster_report(df, **kw).collect()), key=order)
+
+
+def test_nearest_against_all_distances():
+    r = np.random.default_rng(3)
+    for spread in (1, 5, 300):
+        x = r.integers(-spread, spread + 1, (400, 8))
+        c = r.integers(-spread, spread + 1, (17, 8))
+        c[5] = c[2]  # equal centroids: the smaller number wins
+        arg, best = nearest(x, c)
+        d = ((x[:, None, :] - c[None, :, :]) ** 2).sum(2)
+        assert (best == d.min(1)).all()
+        assert (arg == d.argmin(1)).all()
+
+
+def test_clusters_against_plain_python(spark):
+    r = random.Random(8)
+    centres = [[r.gauss(0, 1) for _ in range(64)] for _ in range(6)]
+    rows = [(i, [c + r.gauss(0, 0.2) for c in centres[i % 6]]) for i in range(300)]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    assert run(spark, rows, k=7) == plain(rows, k=7)
+    assert run(spark, rows) == plain(rows)
+
+
+def test_defined_cases(spark):
+    good = [0.5] * 64
+    rows = [
+        (1, good), (1, good), (None, [0.25] * 64),  # repeated and null ids stay, each a row
+        (2, None), (3, [0.1] * 63), (4, [None] + [0.1] * 63), (5, [float("nan")] + [0.0] * 63),
+        (6, [float("inf")] + [0.0] * 63), (7, [1e30] + [0.0] * 63), (8, [-0.003] * 64),
+    ]
+    got = run(spark, rows)
+    assert got == plain(rows)
+    assert sorted(r[0] for r in got if r[0] is not None) == [1, 1, 8]
+    assert len(got) == 4
+
+
+def test_empty_table_and_clashing_columns(spark):
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert cluster_report(empty).collect() == []
+    df = spark.createDataFrame([(1, [0.0] * 64, 9, "x", 3)], "vec_id long, embedding array<float>, v int, cluster string, distance int")
+    assert [tuple(r)[:3] for r in cluster_report(df).collect()] == [(1, 0, 0)]
+
+
+def test_ties_go_to_the_smaller_centroid():
+    x = np.array([[0, 0], [2, 0], [1, 0]])
+    c = np.array([[2, 0], [0, 0]])
+    arg, best = nearest(x, c)
+    assert list(arg) == [1, 0, 0] and list(best) == [0, 0, 1]
