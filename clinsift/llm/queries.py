@@ -15,6 +15,8 @@ from clinsift.llm.exact_dedup import exact_groups
 from clinsift.llm.piece_scan import encode
 from clinsift.llm.pii import KINDS, all_spans, find_pii, listed
 from clinsift.llm.quality import rank_quality
+from clinsift.llm.secrets import find_secrets
+from clinsift.llm.secrets import listed as listed_secrets
 from clinsift.llm.simhash import simhash_groups
 from clinsift.llm.suffix_dedup import remove_repeats
 from clinsift.llm.token_files import read_token_files, token_folder, write_token_files
@@ -135,6 +137,17 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_report(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256, salt="2")
 
 
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(_table(spark, sf_dir, "documents"))
+    count = lambda n: F.size(F.filter("base", lambda s: s["kind"] == n)).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(n).alias(f"n_{kind}") for n, kind in enumerate(("assign", "access", "hex"))),
+        F.sha2(listed_secrets(F.col("base")), 256).alias("base_sha256"),
+        listed_secrets(F.col("spans")).alias("spans"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -150,5 +163,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_suffix_dedup,
             op10_sentencepiece,
             op11_centroids,
+            op12_secrets,
         )
     }
