@@ -124,6 +124,52 @@ from a{rounds} a join kept using (r) join inertias using (c) join digests using
 """
 
 
+_OP13 = r"""
+with docs as (
+    select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as ts
+    from documents),
+occ as (
+    select r, lang, source,
+        translate(unnest(ts), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term
+    from docs),
+groups as (select distinct lang, source from docs),
+vocab as (
+    select lang, term, count(*) as lang_count from occ group by lang, term
+    having count(distinct r) >= 3),
+langs as (select lang, count(*) as v, sum(lang_count) as lang_total from vocab group by lang),
+gc as (
+    select lang, source, term, count(*) as cnt from occ semi join vocab using (lang, term)
+    group by lang, source, term),
+sized as (
+    select g.lang, g.source, coalesce(l.v, 0) as v, coalesce(t.total, 0) as total,
+        coalesce(l.lang_total, 0) as lang_total
+    from groups g left join langs l using (lang)
+    left join (select lang, source, sum(cnt) as total from gc group by lang, source) t using (lang, source)),
+shares as (
+    select s.lang, s.source, v.term, coalesce(gc.cnt, 0) as cnt,
+        1 + (1000000000::hugeint * (coalesce(gc.cnt, 0) + 1)) // (s.total + s.v) as p,
+        1 + (1000000000::hugeint * (v.lang_count + 1)) // (s.lang_total + s.v) as q
+    from sized s join vocab v using (lang) left join gc using (lang, source, term)),
+term_rows as (
+    select lang, source, 'term' as part, term as item, ((p - q) * (p - q)) // q as value
+    from shares where cnt > 0 and p > q),
+pv as (
+    select a.lang, a.source, b.source as other, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+    from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+    group by a.lang, a.source, b.source),
+pair_rows as (
+    select sa.lang, sa.source, 'pair' as part, sb.source as item, coalesce(pv.value, 0) as value
+    from sized sa join sized sb on sa.lang = sb.lang and sa.source <> sb.source
+    left join pv on pv.lang = sa.lang and pv.source = sa.source and pv.other = sb.source),
+ranked as (
+    select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+    from (select * from term_rows union all select * from pair_rows))
+select lang, source, part, item, value::bigint as value, rank::integer as rank
+from ranked where part = 'pair' or rank <= 200
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_url_filter": _OP1, "op3_decontaminate": _OP3, "op5_exact_dedup": _OP5, "op7_chat_format": _OP7,
-            "op11_centroids": _op11()}
+            "op11_centroids": _op11(), "op13_divergence": _OP13}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clinsift.llm.centroids import cluster_report
 from clinsift.llm.chat import fold, formatted, masked_text, render, turns
 from clinsift.llm.decontaminate import overlaps
+from clinsift.llm.divergence import divergence
 from clinsift.llm.exact_dedup import exact_groups
 from clinsift.llm.piece_scan import encode
 from clinsift.llm.pii import KINDS, all_spans, find_pii, listed
@@ -148,6 +149,10 @@ def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(_table(spark, sf_dir, "documents"), min_docs=3, top=200, scale=1_000_000_000)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -164,5 +169,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op10_sentencepiece,
             op11_centroids,
             op12_secrets,
+            op13_divergence,
         )
     }
