@@ -708,5 +708,39 @@ from person"""),
     }
 
 
+# --- findings after the registry's change set ---------------------------------------
+
+
+def _changed(sql: str) -> str:
+    """A rule's SQL over the tables after the change set: both changed tables wrap the originals."""
+    ctes = fixture_ctes()
+    person, obs = ctes["person"].strip(), ctes["obs"].strip()
+    people = (
+        "select * replace (case when person_id % 37 = 0 then 'X' else gender end as gender,"
+        " case when person_id % 37 = 0 then birthdate + 400 else birthdate end as birthdate)"
+        f" from ({person}) base"
+    )
+    facts = f"select * replace (case when person_id % 29 = 0 then 1 else voided end as voided) from ({obs}) base"
+    return sql.replace(f"person as materialized ({person})", f"person as materialized ({people})").replace(
+        f"obs as materialized ({obs})", f"obs as materialized ({facts})"
+    )
+
+
+def _deltas() -> dict[str, str]:
+    out = {}
+    for name, sql in _rules().items():
+        if not name.endswith("_cen"):
+            continue
+        out[f"{name}_delta"] = f"""
+with old_findings as ({sql}), new_findings as ({_changed(sql)})
+select *, 'new' as change from (select * from new_findings except all select * from old_findings) a
+union all
+select *, 'cleared' as change from (select * from old_findings except all select * from new_findings) b
+union all
+select *, 'unchanged' as change from (select * from new_findings intersect all select * from old_findings) c
+"""
+    return out
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**_rules(), **_reviews(), **_blocks(), **_scans(), **_corrections()}
+    return {**_rules(), **_reviews(), **_blocks(), **_scans(), **_corrections(), **_deltas()}

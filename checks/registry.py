@@ -24,6 +24,7 @@ from clinsift.operators import (
 )
 from clinsift.operators.clients import CLIENT, live
 from clinsift.operators.joins import present
+from clinsift.plans.delta import findings_delta
 from clinsift.sources import TABLES, read_catalog
 
 OWN_IDS = 10**15  # above every id of the fixture
@@ -67,6 +68,38 @@ def _rules() -> dict[str, Query]:
     return out
 
 
+# A fixed change set over the fixture: some people get another gender and birthdate, and
+# the observations of some people are voided.  Fixed values; the SQL states the same.
+CHANGED_PERSON = 37
+CHANGED_OBS = 29
+
+
+def changed_tables(t: RecordTables) -> tuple[RecordTables, dict[str, DataFrame]]:
+    """The tables after the change set, and the change rows (old and new versions)."""
+    hit = F.col("person_id") % CHANGED_PERSON == 0
+    people = t.person.where(hit)
+    renamed = people.withColumns({"gender": F.lit("X"), "birthdate": F.date_add("birthdate", 400)})
+    voided = F.col("person_id") % CHANGED_OBS == 0
+    facts = t.obs.where(voided)
+    void = facts.withColumn("voided", F.lit(1).cast(t.obs.schema["voided"].dataType))
+    new = t.with_table("person", t.person.where(~hit | hit.isNull()).unionByName(renamed)).with_table(
+        "obs", t.obs.where(~voided | voided.isNull()).unionByName(void)
+    )
+    return new, {"person": people.unionByName(renamed), "obs": facts.unionByName(void)}
+
+
+def _deltas() -> dict[str, Query]:
+    def delta(name: str) -> Query:
+        def run(t: RecordTables) -> DataFrame:
+            new, changes = changed_tables(t)
+            before = {name: run_rule(name, t, CONFIG, as_of=AS_OF, variant=CENTRAL)}
+            return findings_delta(new, changes, before, CONFIG, rules=[name], variant=CENTRAL, as_of=AS_OF)[name]
+
+        return run
+
+    return {f"{name}_cen_delta": delta(name) for name in RULES}
+
+
 def _reviews() -> dict[str, Query]:
     return {
         "v03_birth_art_review": lambda t: reviews.birth_and_treatment(t, CONFIG),
@@ -276,7 +309,7 @@ def _corrections() -> dict[str, Query]:
 
 def table_queries() -> dict[str, Query]:
     """Queries over record tables, however those were made."""
-    return {**_rules(), **_reviews(), **_blocks(), **_scans(), **_corrections()}
+    return {**_rules(), **_reviews(), **_blocks(), **_scans(), **_corrections(), **_deltas()}
 
 
 @lru_cache(maxsize=8)
