@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 _SALT = "_salt"
 
 
+def salt_column(salts: int) -> str:
+    """Name of a salt in ``[0, salts)`` that facts may carry from where they were stored."""
+    return f"_salt_of_{salts}"
+
+
+def dealt(facts: DataFrame, spread_by: Sequence[str | Column], salts: int) -> DataFrame:
+    """The facts with a column ``salt_column(salts)``: a hash of row content, never ``rand``."""
+    return facts.withColumn(salt_column(salts), F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+
+
 def skew_join(
     facts: DataFrame,
     keyed: DataFrame,
@@ -31,19 +41,28 @@ def skew_join(
 
     No broadcast is asked for: Spark takes one where all copies of the small side are
     known to be under ``spark.sql.autoBroadcastJoinThreshold``, at planning or at run time.
+
+    Facts that already carry ``salt_column(salts)`` (a table stored bucketed by key and that
+    salt, see ``plans.run.prepare``) keep it, and a join on the bucket columns needs no
+    exchange of the facts.  Any deal of the facts gives the same result, as the small side is
+    copied for every salt.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join cannot do a {how} join")
     if salts < 2:
-        return facts.join(keyed, on=list(on), how=how)
-    dealt = facts.withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+        return facts.join(keyed, on=list(on), how=how).drop(*(c for c in facts.columns if c.startswith("_salt_of_")))
+    carried = salt_column(salts)
+    spread = facts.drop(*(c for c in facts.columns if c.startswith("_salt_of_") and c != carried))
+    if carried not in spread.columns:
+        spread = dealt(spread, spread_by, salts)
+    spread = spread.withColumnRenamed(carried, _SALT)
     # every copy is a column before it is a row, so Spark's size estimate counts all of them
     copies = [
         F.struct(*keyed.columns, F.lit(n).alias(_SALT)).alias(f"_copy_{n}") for n in range(salts)
     ]
     names = [f"_copy_{n}" for n in range(salts)]
     copied = keyed.select(*copies).select(F.inline(F.array(*names)))
-    return dealt.join(copied, on=[*on, _SALT], how=how).drop(_SALT)
+    return spread.join(copied, on=[*on, _SALT], how=how).drop(_SALT)
 
 
 def within_days(

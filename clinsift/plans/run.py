@@ -14,7 +14,8 @@ from clinsift.config import CENTRAL, DEFAULT, DETECTION, Config, Variant
 from clinsift.operators.clients import live, prepare_clients
 from clinsift.plans.rules import RULES, reads, run_rule
 from clinsift.sources.schemas import AUDIT_COLUMNS
-from clinsift.sources.sinks import stage, stage_folder
+from clinsift.operators.joins import dealt, salt_column
+from clinsift.sources.sinks import stage, stage_bucketed, stage_folder
 from clinsift.sources.tables import Prepared, RecordTables
 
 SITE_PAIRING = "r02_visit_after_death"
@@ -29,8 +30,11 @@ def prepare(
 ) -> RecordTables:
     """Write what several of the rules share once, and return tables that read it.
 
-    Live observations of the concepts that the rules read are kept by concept, so each
-    rule scans its own folders only; clients of a state are joined once.  What only one
+    Live observations of the concepts that the rules read are read once and exchanged once:
+    written as a table bucketed by client and salt (the deal of ``skew_join``), in folders by
+    concept.  Each rule scans its own folders only, and its salted joins of observations to
+    clients read the buckets without another exchange, so a client with very many
+    observations still spreads over ``salts`` buckets.  Clients of a state are joined once.  What only one
     of the rules reads is not written.  The result is good for these rules and
     settings; a rule that needs more stops.  ``drop_prepared`` of the result removes the folder.
     """
@@ -46,12 +50,19 @@ def prepare(
         for state, users in states.items()
         if users > 1
     }
-    obs = tables.obs
+    obs, staged_tables = tables.obs, ()
     if len(readers) > 1:
         facts = obs.where(live() & F.col("concept_id").isin(*concepts)).drop(*AUDIT_COLUMNS)
-        obs = stage(facts, "obs", ["concept_id"], folder)
+        if cfg.salts >= 2:
+            # the one exchange of obs: by client and salt, as the salted client joins ask
+            keys = ["person_id", "site_id", salt_column(cfg.salts)]
+            width = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            obs, table = stage_bucketed(dealt(facts, ["obs_id"], cfg.salts), "obs", keys, width, ["concept_id"], folder)
+            staged_tables = (table,)
+        else:
+            obs = stage(facts, "obs", ["concept_id"], folder)
     kept = concepts if len(readers) > 1 else None
-    return replace(tables, obs=obs, clients=clients, prepared=Prepared(cfg, folder, kept))
+    return replace(tables, obs=obs, clients=clients, prepared=Prepared(cfg, folder, kept, staged_tables))
 
 
 def run_all(

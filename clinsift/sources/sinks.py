@@ -71,6 +71,38 @@ def stage(
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def stage_bucketed(
+    df: DataFrame,
+    name: str,
+    by: Sequence[str],
+    buckets: int,
+    partition_by: Sequence[str] = (),
+    folder: str | None = None,
+) -> tuple[DataFrame, str]:
+    """Write a frame as a table bucketed by ``by`` and read it back; also the table's name.
+
+    The rows are exchanged once, by the bucket columns, and each task writes one bucket, so
+    joins and groupings on exactly those columns read the table without another exchange.
+    The table is external, its files in the shared folder; ``drop_staged_table`` removes it.
+    """
+    spark = df.sparkSession
+    path = f"{folder or stage_folder(spark)}/{name}"
+    table = f"staged_{name}_{uuid.uuid4().hex}"
+    (
+        df.repartition(buckets, *by)
+        .write.mode("errorifexists")
+        .option("path", path)
+        .partitionBy(*partition_by)
+        .bucketBy(buckets, *by)
+        .saveAsTable(table)
+    )
+    return spark.table(table).select(*df.columns), table
+
+
+def drop_staged_table(spark: SparkSession, table: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def remove_folder(spark: SparkSession, path: str) -> bool:
     """Delete a staged folder through Spark's own file system."""
     jvm = spark.sparkContext._jvm

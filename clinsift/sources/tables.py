@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clinsift.config import Config
 from clinsift.sources.schemas import AUDIT_COLUMNS, SCHEMAS, TABLES, ddl, require_columns
-from clinsift.sources.sinks import remove_folder
+from clinsift.sources.sinks import drop_staged_table, remove_folder
 
 
 @dataclass(frozen=True)
@@ -23,6 +23,7 @@ class Prepared:
     cfg: Config
     folder: str
     concepts: tuple[int, ...] | None
+    tables: tuple[str, ...] = ()  # catalogue names of staged bucketed tables
 
     def check(self, rule: str, cfg: Config, concepts: Sequence[int]) -> None:
         """Stop a rule that would find less than over the tables themselves."""
@@ -65,7 +66,10 @@ class RecordTables:
     def drop_prepared(self) -> None:
         """Remove the folder that ``prepare`` wrote; these tables cannot be read after that."""
         if self.prepared is not None:
-            remove_folder(self.patient.sparkSession, self.prepared.folder)
+            spark = self.patient.sparkSession
+            for table in self.prepared.tables:
+                drop_staged_table(spark, table)
+            remove_folder(spark, self.prepared.folder)
 
 
 def _stored_columns(spark: SparkSession, path: str) -> set[str] | None:

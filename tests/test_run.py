@@ -1,6 +1,7 @@
 """All rules over shared, staged inputs give what each rule gives alone."""
 
 import os
+import re
 from dataclasses import replace
 
 import pytest
@@ -78,3 +79,42 @@ def test_only_what_is_shared_is_written(spark, tables):
     assert sorted(parts) == sorted(f"concept_id={c}" for c in CONFIG.measures)
     heights.drop_prepared()
     assert not os.path.exists(heights.prepared.folder)
+
+
+def _ancestors(plan: str, marker: str) -> list[list[str]]:
+    """For each line holding ``marker``: the operators above it, nearest first."""
+    lines = plan.splitlines()
+
+    def depth(line: str) -> int:
+        stripped = line.lstrip(" :|+-")
+        return len(line) - len(stripped)
+
+    out = []
+    for n, line in enumerate(lines):
+        if marker in line:
+            above, level = [], depth(line)
+            for prior in reversed(lines[:n]):
+                if prior.strip() and depth(prior) < level:
+                    above.append(re.sub(r"^[\s:|+-]*(\*\(\d+\)\s*)?", "", prior))
+                    level = depth(prior)
+            out.append(above)
+    return out
+
+
+@pytest.mark.parametrize("name", ["r04_male_pregnancy", "r05_female_age_range", "r10_breastfeeding"])
+def test_observations_are_exchanged_once_for_all_rules(spark, tables, name):
+    shared = prepare(tables, CONFIG)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the clients were large
+    try:
+        found = run_rule(name, shared, CONFIG, as_of=AS_OF)
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        shared.drop_prepared()
+    scans = _ancestors(plan, "FileScan parquet spark_catalog.default.staged_obs")
+    assert scans
+    for above in scans:
+        upto = next(i for i, op in enumerate(above) if op.startswith("SortMergeJoin"))
+        assert not any("Exchange" in op or "ShuffleQueryStage" in op for op in above[:upto]), above[:upto]
