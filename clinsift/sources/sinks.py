@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -43,6 +44,64 @@ def replace_partitions(
     )
 
 
+def touched_files(spark: SparkSession, path: str, decisions: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The files of a stored table that hold a row some decision matches by ``keys``.
+
+    Found by Spark itself (``_metadata.file_path`` of the matching rows), one row per file to
+    the driver: a file list, as the driver holds for every scan anyway.  Keys with a NULL
+    match nothing.
+    """
+    wanted = decisions.select(*keys).dropna().distinct()
+    stored = spark.read.parquet(path).select(*keys, F.col("_metadata.file_path").alias("_file"))
+    found = stored.join(wanted, list(keys), "left_semi").select("_file").distinct()
+    return sorted(row._file for row in found.collect())
+
+
+def rewrite_files(
+    spark: SparkSession,
+    path: str,
+    files: Sequence[str],
+    correct: Callable[[DataFrame], DataFrame],
+    partition_by: Sequence[str] = ("site_id",),
+) -> list[str]:
+    """Replace the given files of a stored table by ``correct`` of their rows; others stay.
+
+    For updates, whose every row depends on itself and its decision alone: with ``files`` from
+    ``touched_files`` the table then equals the update of the whole table, and every file
+    without a decided row is left as it was.  The new files are written to a hidden folder in
+    the table first (readers skip names starting with ``_``), then moved beside the old ones,
+    which go last: a failed job leaves the table as it was or, between the two steps, with
+    both versions of the touched files, which a second run with the same files cleans.
+    Readers must pause for the swap, as for ``replace_partitions``.  Returns the new files.
+    """
+    if not files:
+        return []
+    jvm = spark.sparkContext._jvm
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(hadoop)
+    rows = spark.read.option("basePath", path).parquet(*files)
+    staging = f"{path}/_rewrite-{uuid.uuid4().hex}"
+    correct(rows).select(*rows.columns).write.partitionBy(*partition_by).parquet(staging)
+    moved = []
+    listing = fs.listFiles(jvm.org.apache.hadoop.fs.Path(staging), True)
+    while listing.hasNext():
+        made = listing.next().getPath()
+        name = made.getName()
+        if name.startswith("_") or name.startswith("."):
+            continue
+        inner = made.toUri().getPath()[len(jvm.org.apache.hadoop.fs.Path(staging).toUri().getPath()) + 1 :]
+        target = jvm.org.apache.hadoop.fs.Path(root, inner)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(made, target):
+            raise OSError(f"could not move {made} to {target}")
+        moved.append(target.toString())
+    for old in files:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(old), False)
+    fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
+    return moved
+
+
 def stage_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, as the session names it."""
     folder = spark.conf.get(CHECKPOINT_CONF, None)
