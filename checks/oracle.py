@@ -742,5 +742,47 @@ select *, 'unchanged' as change from (select * from new_findings intersect all s
     return out
 
 
+# --- decision log with history ------------------------------------------------------
+
+_LOG = """
+select person_id, site_id, birthdate - 1 as birthdate, date '2001-01-10' as decided_on, 1 as seq
+from person where person_id % 5 = 0
+union all
+select person_id, site_id, birthdate + 30, date '2001-02-01', 2 from person where person_id % 10 = 0
+union all
+select person_id, site_id, birthdate + 60, date '2001-02-01', 1 from person where person_id % 20 = 0
+union all
+select person_id, site_id, birthdate + 30, date '2001-02-01', 2 from person where person_id % 40 = 0
+"""
+_DECIDED = """
+select distinct * from log
+where person_id is not null and site_id is not null and decided_on is not null and seq is not null
+"""
+_KNOWN = """
+select person_id, site_id, birthdate from (
+    select *, row_number() over (partition by person_id, site_id
+        order by decided_on desc, seq desc, birthdate desc nulls last) as n
+    from decided where decided_on <= date '2001-02-15')
+where n = 1
+"""
+
+
+def _history() -> dict[str, str]:
+    versions = query(
+        """
+select person_id, site_id, birthdate, decided_on as valid_from, valid_to from (
+    select *, lead(decided_on) over (partition by person_id, site_id
+        order by decided_on, seq, birthdate nulls first) as valid_to
+    from decided)
+where valid_to is null or valid_to > valid_from
+""",
+        log=_LOG,
+        decided=_DECIDED,
+    )
+    known = query(_KNOWN, log=_LOG, decided=_DECIDED)
+    as_known = _updated("person", "person_id site_id", known, "true", birthdate="d.birthdate")
+    return {"h01_birthdate_versions": versions, "h02_birthdate_known_on": known, "h03_birthdates_as_known": as_known}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**_rules(), **_reviews(), **_blocks(), **_scans(), **_corrections(), **_deltas()}
+    return {**_rules(), **_reviews(), **_blocks(), **_scans(), **_corrections(), **_deltas(), **_history()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import lru_cache, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,7 @@ from clinsift.operators import (
 )
 from clinsift.operators.clients import CLIENT, live
 from clinsift.operators.joins import present
+from clinsift.plans import history
 from clinsift.plans.delta import findings_delta
 from clinsift.sources import TABLES, read_catalog
 
@@ -100,6 +102,42 @@ def _deltas() -> dict[str, Query]:
     return {f"{name}_cen_delta": delta(name) for name in RULES}
 
 
+# A decision log over the fixture: birthdates decided on two days, a later decision of the same
+# day winning, and one batch replayed.  Fixed values; the SQL states the same.
+LOG_KEYS, LOG_VALUES = ["person_id", "site_id"], ["birthdate"]
+KNOWN_ON = date(2001, 2, 15)
+
+
+def decision_log(t: RecordTables) -> DataFrame:
+    def decided(every: int, shift: int, day: date, seq: int) -> DataFrame:
+        return t.person.where(F.col("person_id") % every == 0).select(
+            "person_id",
+            "site_id",
+            F.date_add("birthdate", shift).alias("birthdate"),
+            F.lit(day).alias("decided_on"),
+            F.lit(seq).alias("seq"),
+        )
+
+    first, second = date(2001, 1, 10), date(2001, 2, 1)
+    parts = [decided(5, -1, first, 1), decided(10, 30, second, 2), decided(20, 60, second, 1), decided(40, 30, second, 2)]
+    log = parts[0]
+    for part in parts[1:]:
+        log = log.unionByName(part)
+    return log
+
+
+def _history() -> dict[str, Query]:
+    def as_known(t: RecordTables) -> DataFrame:
+        known = history.known_on(decision_log(t), LOG_KEYS, LOG_VALUES, KNOWN_ON)
+        return corrections.set_birthdate(t.person, known, CONFIG)
+
+    return {
+        "h01_birthdate_versions": lambda t: history.versions(decision_log(t), LOG_KEYS, LOG_VALUES),
+        "h02_birthdate_known_on": lambda t: history.known_on(decision_log(t), LOG_KEYS, LOG_VALUES, KNOWN_ON),
+        "h03_birthdates_as_known": as_known,
+    }
+
+
 def _reviews() -> dict[str, Query]:
     return {
         "v03_birth_art_review": lambda t: reviews.birth_and_treatment(t, CONFIG),
@@ -309,7 +347,7 @@ def _corrections() -> dict[str, Query]:
 
 def table_queries() -> dict[str, Query]:
     """Queries over record tables, however those were made."""
-    return {**_rules(), **_reviews(), **_blocks(), **_scans(), **_corrections(), **_deltas()}
+    return {**_rules(), **_reviews(), **_blocks(), **_scans(), **_corrections(), **_deltas(), **_history()}
 
 
 @lru_cache(maxsize=8)
