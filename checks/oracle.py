@@ -784,5 +784,37 @@ where valid_to is null or valid_to > valid_from
     return {"h01_birthdate_versions": versions, "h02_birthdate_known_on": known, "h03_birthdates_as_known": as_known}
 
 
+# --- order as a column ----------------------------------------------------------------
+
+
+def _positions() -> dict[str, str]:
+    rules = _rules()
+    columns = {
+        "r01_gender_det": "patient_id, gender, site_id",
+        "r01_gender_cen": "patient_id, site_id, gender, DQ_flag, kahn_category, severity",
+        "r02_visit_after_death_cen": "patient_id, site_id, death_start_date, encounter_id, encounter_date,"
+        " encounter_type, days_after_death, DQ_flag, kahn_category, severity",
+        "r07_peds_missing_vitals_cen": "patient_id, site_id, encounter_id, visit_date, birthdate, age_at_visit,"
+        " weight, height_cm, bmi, DQ_flag, kahn_category, severity",
+        "r04_male_pregnancy_det": "patient_id, site_id, concept_id, observation_question, obs_datetime, value_coded,"
+        " observation_answer, obs_answer_text, answer_source",
+    }
+
+    def at(key: str, order: str, drop: str = "") -> str:
+        ties = ", ".join(f"{c.strip()} nulls first" for c in (order + ", " + columns[key]).split(","))
+        shown = "* exclude (" + drop + ")" if drop else "*"
+        return f"""
+select {shown}, row_number() over (order by {ties}) as position from ({rules[key]})
+"""
+
+    return {
+        "o1_by_patient": at("r01_gender_det", "patient_id"),
+        "o2_by_site_patient": at("r01_gender_cen", "site_id, patient_id"),
+        "o3_by_encounter_date": at("r02_visit_after_death_cen", "encounter_date"),
+        "o4_by_unshown_visit": at("r07_peds_missing_vitals_cen", "site_id, encounter_id", "encounter_id"),
+        "o5_by_patient_time": at("r04_male_pregnancy_det", "patient_id, obs_datetime"),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**_rules(), **_reviews(), **_blocks(), **_scans(), **_corrections(), **_deltas(), **_history()}
+    return {**_rules(), **_reviews(), **_blocks(), **_scans(), **_corrections(), **_deltas(), **_history(), **_positions()}

@@ -25,6 +25,7 @@ from clinsift.operators import (
 )
 from clinsift.operators.clients import CLIENT, live
 from clinsift.operators.joins import present
+from clinsift.operators.positions import with_position
 from clinsift.plans import history
 from clinsift.plans.delta import findings_delta
 from clinsift.sources import TABLES, read_catalog
@@ -138,6 +139,25 @@ def _history() -> dict[str, Query]:
     }
 
 
+def _positions() -> dict[str, Query]:
+    """The order of a result as a column (O1-O5), by distributed positions."""
+
+    def at(name: str, variant: Variant, order: list[str], drop: tuple[str, ...] = ()) -> Query:
+        def run(t: RecordTables) -> DataFrame:
+            placed = with_position(rule(name, variant)(t), order)
+            return placed.drop(*drop)
+
+        return run
+
+    return {
+        "o1_by_patient": at("r01_gender", DETECTION, ["patient_id"]),
+        "o2_by_site_patient": at("r01_gender", CENTRAL, ["site_id", "patient_id"]),
+        "o3_by_encounter_date": at("r02_visit_after_death", CENTRAL, ["encounter_date"]),
+        "o4_by_unshown_visit": at("r07_peds_missing_vitals", CENTRAL, ["site_id", "encounter_id"], ("encounter_id",)),
+        "o5_by_patient_time": at("r04_male_pregnancy", DETECTION, ["patient_id", "obs_datetime"]),
+    }
+
+
 def _reviews() -> dict[str, Query]:
     return {
         "v03_birth_art_review": lambda t: reviews.birth_and_treatment(t, CONFIG),
@@ -347,7 +367,7 @@ def _corrections() -> dict[str, Query]:
 
 def table_queries() -> dict[str, Query]:
     """Queries over record tables, however those were made."""
-    return {**_rules(), **_reviews(), **_blocks(), **_scans(), **_corrections(), **_deltas(), **_history()}
+    return {**_rules(), **_reviews(), **_blocks(), **_scans(), **_corrections(), **_deltas(), **_history(), **_positions()}
 
 
 @lru_cache(maxsize=8)
