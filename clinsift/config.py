@@ -21,8 +21,8 @@ def check_variant(variant: str) -> Variant:
 class Config:
     """Codes and limits of the HIV programme's data-quality rules.
 
-    The defaults are fixed values: results depend on them.  ``salts`` is the only
-    execution setting; it never changes a result (see ``operators.joins``).
+    The defaults are fixed values: results depend on them.  ``salts`` and ``hot_share`` are the
+    only execution settings; they never change a result (see ``operators.joins``).
     """
 
     hiv_program: int = 1
@@ -58,6 +58,8 @@ class Config:
     breastfeeding_limit_days: int = 730
 
     salts: int = 8
+    # where set, only keys holding at least this share of the facts are salted (found in a sample)
+    hot_share: float | None = None
 
     @property
     def measures(self) -> tuple[int, ...]:

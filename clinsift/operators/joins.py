@@ -65,6 +65,65 @@ def skew_join(
     return spread.join(copied, on=[*on, _SALT], how=how).drop(_SALT)
 
 
+def hot_keys(facts: DataFrame, on: Sequence[str], share: float, fraction: float = 0.01) -> DataFrame:
+    """Keys that hold at least ``share`` of the facts, found in a sample of them.
+
+    At most ``1 / share`` keys can pass, so the list has a proven bound and may be broadcast.
+    The list only decides which keys are salted; a key missed or listed wrongly changes work,
+    never a result.  The sample is seeded, so a recomputed task finds the same list.
+    """
+    keys = facts.select(*on).sample(fraction=fraction, seed=17)
+    for c in on:
+        keys = keys.where(F.col(c).isNotNull())
+    seen = keys.count()  # one number to the driver
+    counts = keys.groupBy(*on).agg(F.count(F.lit(1)).alias("_seen"))
+    return counts.where(F.col("_seen") >= F.lit(max(share * seen, 1.0))).select(*on)
+
+
+def hot_key_join(
+    facts: DataFrame,
+    keyed: DataFrame,
+    on: Sequence[str],
+    spread_by: Sequence[str | Column],
+    salts: int,
+    share: float,
+    how: str = "inner",
+) -> DataFrame:
+    """``skew_join`` that salts only the keys found hot (``hot_keys``); the rest join as they are.
+
+    The small side is copied ``salts`` times for the listed keys only, once for all others; the
+    facts of a listed key are dealt over the salts by a hash of row content.  Same result as a
+    plain join.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"hot_key_join cannot do a {how} join")
+    if salts < 2:
+        return facts.join(keyed, on=list(on), how=how)
+    hot = F.broadcast(hot_keys(facts, on, share).withColumn("_hot", F.lit(True)))  # <= 1/share rows
+    facts = facts.drop(*(c for c in facts.columns if c.startswith("_salt_of_")))
+    dealt_facts = facts.join(hot, list(on), "left").withColumn(
+        _SALT, F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(F.lit(0)).cast("int")
+    )
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copied = keyed.join(hot, list(on), "left").withColumn(_SALT, F.explode(copies)).drop("_hot")
+    return dealt_facts.drop("_hot").join(copied, on=[*on, _SALT], how=how).drop(_SALT)
+
+
+def client_join(
+    facts: DataFrame,
+    keyed: DataFrame,
+    on: Sequence[str],
+    spread_by: Sequence[str | Column],
+    salts: int,
+    hot_share: float | None,
+    how: str = "inner",
+) -> DataFrame:
+    """The join of facts to clients: hot keys found where ``hot_share`` is set, else all salted."""
+    if hot_share is None:
+        return skew_join(facts, keyed, on, spread_by, salts, how)
+    return hot_key_join(facts, keyed, on, spread_by, salts, hot_share, how)
+
+
 def within_days(
     facts: DataFrame,
     keyed: DataFrame,

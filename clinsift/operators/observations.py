@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clinsift.config import DEFAULT, Config
 from clinsift.operators.clients import CLIENT, live
-from clinsift.operators.joins import drop_matching, present, skew_join
+from clinsift.operators.joins import client_join, drop_matching, present, skew_join
 
 MEASURES = ("weight", "height_cm", "bmi")
 
@@ -32,7 +32,7 @@ def client_observations(
 ) -> DataFrame:
     """Those observations that belong to the given clients, with the clients' columns."""
     facts = answered_observations(obs, answered, concepts)
-    return skew_join(facts, clients, on=CLIENT, spread_by=["obs_id"], salts=cfg.salts)
+    return client_join(facts, clients, CLIENT, ["obs_id"], cfg.salts, cfg.hot_share)
 
 
 def labels(concept_name: DataFrame, cfg: Config = DEFAULT) -> DataFrame:

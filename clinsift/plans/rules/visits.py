@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clinsift import texts
 from clinsift.functions import age_years, fill
 from clinsift.operators.clients import CLIENT, cohort, live
-from clinsift.operators.joins import skew_join
+from clinsift.operators.joins import client_join, skew_join
 from clinsift.operators.observations import measure_pivot
 from clinsift.plans.rules.common import BY_PATIENT, BY_SITE_AND_PATIENT, RuleContext, finding
 from clinsift.sources.tables import RecordTables
@@ -28,10 +28,10 @@ def visit_after_death(t: RecordTables, ctx: RuleContext) -> DataFrame:
     )
     visits = t.encounter.where(live()).select(*VISIT, "encounter_type")
     if ctx.central or ctx.site_safe:
-        matched = skew_join(visits, dead, CLIENT, ["encounter_id"], ctx.cfg.salts)
+        matched = client_join(visits, dead, CLIENT, ["encounter_id"], ctx.cfg.salts, ctx.cfg.hot_share)
     else:
         visits = visits.drop("site_id")
-        matched = skew_join(visits, dead, ["patient_id"], ["encounter_id"], ctx.cfg.salts)
+        matched = client_join(visits, dead, ["patient_id"], ["encounter_id"], ctx.cfg.salts, ctx.cfg.hot_share)
     late = matched.where(F.col("encounter_datetime") > F.col("start_date"))
     # type names last: only findings meet the name table
     types = t.encounter_type.select(
@@ -74,12 +74,13 @@ def child_missing_measures(t: RecordTables, ctx: RuleContext) -> DataFrame:
     clients = cohort(t, ctx.cfg, state=ctx.cfg.state_on_art, columns=["birthdate"])
     age = age_years(F.col("birthdate"), F.col("encounter_datetime"))
     visits = (
-        skew_join(
+        client_join(
             t.encounter.where(live()).select(*VISIT),
             clients,
             CLIENT,
-            spread_by=["encounter_id"],
-            salts=ctx.cfg.salts,
+            ["encounter_id"],
+            ctx.cfg.salts,
+            ctx.cfg.hot_share,
         )
         .where(F.col("birthdate").isNull() | (age < ctx.cfg.adult_age))
     )

@@ -27,7 +27,7 @@ class Prepared:
 
     def check(self, rule: str, cfg: Config, concepts: Sequence[int]) -> None:
         """Stop a rule that would find less than over the tables themselves."""
-        if replace(cfg, salts=self.cfg.salts) != self.cfg:
+        if replace(cfg, salts=self.cfg.salts, hot_share=self.cfg.hot_share) != self.cfg:
             raise ValueError(f"{rule}: the inputs were prepared with other settings")
         lacking = set(concepts) - set(self.concepts if self.concepts is not None else concepts)
         if lacking:

@@ -10,6 +10,7 @@ from checks.fixture import CONFIG, record_tables
 from clinsift import CENTRAL, DETECTION, run_rule
 from clinsift.config import Config
 from clinsift.operators import skew_join, within_days
+from clinsift.operators.joins import hot_key_join, hot_keys
 from clinsift.sources import stage
 
 
@@ -145,3 +146,24 @@ def test_window_join_against_all_pairs(spark, undated):
         )
     ]
     assert sorted((r.obs_id, r.n) for r in joined.collect()) == sorted(expected)
+
+
+@pytest.mark.parametrize("variant", [DETECTION, CENTRAL])
+@pytest.mark.parametrize("name", ["r02_visit_after_death", "r04_male_pregnancy", "r07_peds_missing_vitals", "r10_breastfeeding"])
+def test_found_hot_keys_change_nothing(spark, skewed, name, variant):
+    plain = rows(run_rule(name, skewed, Config(salts=1), as_of=AS_OF, variant=variant))
+    with shuffled(spark):
+        found = rows(run_rule(name, skewed, Config(salts=5, hot_share=0.05), as_of=AS_OF, variant=variant))
+    assert plain == found and plain
+
+
+def test_only_listed_keys_are_copied(spark, skewed):
+    facts = skewed.obs.select("obs_id", F.col("person_id").alias("patient_id"), "site_id")
+    clients = facts.select("patient_id", "site_id").distinct()
+    listed = sorted(tuple(r) for r in hot_keys(facts, ["patient_id", "site_id"], 0.05).collect())
+    assert listed == [(60, 2), (61, 2)]  # the two clients that hold a third of the rows
+    joined = hot_key_join(facts, clients, ["patient_id", "site_id"], ["obs_id"], 8, 0.05)
+    assert joined.count() == facts.count()
+    with shuffled(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        sizes = [r["count"] for r in joined.where("patient_id = 60 and site_id = 2").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 0.7 * sum(sizes)
