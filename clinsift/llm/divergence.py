@@ -27,7 +27,8 @@ without a row per term and pair of sources.  All arithmetic is exact (shares by
 division of decimals).
 
 On Spark: one scan of the documents, whose terms are counted per (lang, source, term) with
-map-side combine; everything after that is the size of the vocabulary times the groups, keyed by
+map-side combine and written to the shared folder, as are the numbered kept terms, so that no
+later part scans the documents again and lost executors recompute little; everything after that is the size of the vocabulary times the groups, keyed by
 term or by bitmap word, so that a language or source with a third of all rows is spread over
 many tasks.  Numbering is by slices of a hash and offsets per slice (no window over a whole
 language).  The top terms use a window limited to ``top`` rows, which Spark applies before and
@@ -44,7 +45,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinsift.llm.staging import width
+from clinsift.llm.staging import staged, width
 
 SCALE = 1_000_000_000
 MIN_DOCS = 3
@@ -76,19 +77,23 @@ def _big(name: str) -> Column:
 
 
 def group_counts(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
-    """``lang, source, term, count, docs`` of every term of every group, by one scan."""
+    """``lang, source, term, count, docs`` of every term of every group, by one scan.
+
+    A document's terms are sorted and each is paired with the one before it, so its first
+    occurrence (what ``docs`` counts) is known without a set or a lambda per term.
+    """
+    lowered = F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    parts = F.array_sort(F.split(lowered, "[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+", -1))
+    before = F.slice(F.concat(F.array(F.lit(None).cast("string")), parts), 1, F.size(parts))
     rows = docs.select(
         F.coalesce(F.col(lang), F.lit("")).alias("lang"),
         F.coalesce(F.col(source), F.lit("")).alias("source"),
-        terms(F.col(text)).alias("_t"),
+        F.arrays_zip(parts.alias("term"), before.alias("prev")).alias("_z"),
     )
-    tagged = F.concat(
-        F.transform("_t", lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("d"))),
-        F.transform(F.array_distinct("_t"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("d"))),
-    )
-    each = rows.select("lang", "source", F.explode(tagged).alias("_e"))
-    return each.groupBy("lang", "source", F.col("_e.term").alias("term")).agg(
-        F.sum("_e.n").cast("long").alias("count"), F.sum("_e.d").cast("long").alias("docs")
+    each = rows.select("lang", "source", F.inline("_z")).where(F.col("term") != "")
+    first = (F.col("prev").isNull() | (F.col("prev") != F.col("term"))).cast("long")
+    return each.groupBy("lang", "source", "term").agg(
+        F.count(F.lit(1)).alias("count"), F.sum(first).alias("docs")
     )
 
 
@@ -103,7 +108,8 @@ def divergence(
 ) -> DataFrame:
     """``lang, source, part, item, value, rank`` as described above."""
     spark = docs.sparkSession
-    counted = group_counts(docs, lang, source, text)
+    # Written once: every part below reads the counts, none scans the documents again.
+    counted = staged(group_counts(docs, lang, source, text), "term_counts")
     groups = (
         docs.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(source), F.lit("")).alias("source"))
         .distinct()
@@ -113,20 +119,23 @@ def divergence(
         .agg(F.sum("docs").alias("df"), F.sum("count").alias("lang_count"))
         .where(F.col("df") >= min_docs)
     )
-    # Dense numbers per language: slices of a hash, then offsets of the slices.
+    # Dense numbers per language, frequent terms first, so that the terms of one bitmap word
+    # are about as frequent and a source has few count levels per word.  A slice is a class of
+    # frequency (a power of two) and a hash within it; the offsets of the slices are a running
+    # sum over their sizes, and numbering is a window per slice, never per language.
     slices = width(spark)
-    vocab = vocab.withColumn("_slice", F.pmod(F.xxhash64("term"), F.lit(slices)))
-    sizes = vocab.groupBy("lang", "_slice").count()
-    offsets = sizes.select(
-        "lang",
-        "_slice",
-        (F.sum("count").over(Window.partitionBy("lang").orderBy("_slice")) - F.col("count")).alias("_offset"),
+    vocab = vocab.withColumn("_class", F.floor(F.log2("lang_count")).cast("int")).withColumn(
+        "_hash", F.pmod(F.xxhash64("term"), F.lit(slices))
     )
-    numbered = vocab.join(offsets, ["lang", "_slice"]).withColumn(
-        "tid", F.col("_offset") + F.row_number().over(Window.partitionBy("lang", "_slice").orderBy("term")) - 1
+    sizes = vocab.groupBy("lang", "_class", "_hash").count()
+    in_order = Window.partitionBy("lang").orderBy(F.col("_class").desc(), "_hash")
+    offsets = sizes.select("lang", "_class", "_hash", (F.sum("count").over(in_order) - F.col("count")).alias("_offset"))
+    by_count = Window.partitionBy("lang", "_class", "_hash").orderBy(F.col("lang_count").desc(), "term")
+    numbered = vocab.join(offsets, ["lang", "_class", "_hash"]).withColumn(
+        "tid", F.col("_offset") + F.row_number().over(by_count) - 1
     )
     langs = vocab.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_count").alias("lang_total"))
-    kept = counted.join(numbered.select("lang", "term", "tid", "lang_count"), ["lang", "term"])
+    kept = staged(counted.join(numbered.select("lang", "term", "tid", "lang_count"), ["lang", "term"]), "kept_counts")
     totals = kept.groupBy("lang", "source").agg(F.sum("count").alias("total"))
     sized = (
         groups.join(langs, "lang", "left")
