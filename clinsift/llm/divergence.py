@@ -73,7 +73,11 @@ def gain(p: str, q: str) -> Column:
 
 def _big(name: str) -> Column:
     """A count as a decimal, so that count times gain cannot overflow."""
-    return F.col(name).cast("decimal(20,0)")
+    return _big_of(F.col(name))
+
+
+def _big_of(count: Column) -> Column:
+    return count.cast("decimal(20,0)")
 
 
 def group_counts(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
@@ -180,25 +184,29 @@ def divergence(
             F.col("b.p0").alias("q0"),
         )
     )
-    a_words = words.select("lang", "source", F.col("level").alias("la"), "word", F.col("bits").alias("ba"))
-    b_words = words.select("lang", F.col("source").alias("other"), F.col("level").alias("lb"), "word", F.col("bits").alias("bb"))
-    joint = (
-        a_words.join(b_words, ["lang", "word"])
-        .where(F.col("source") != F.col("other"))
-        .groupBy("lang", "source", "other", "la", "lb")
-        .agg(F.sum(F.bit_count(F.col("ba").bitwiseAND(F.col("bb")))).alias("j"))
-        .where(F.col("j") > 0)
+    # Each bitmap word carries its level's share and its source's share of zero, so a joined
+    # pair of words is weighted by its cell's gain at once and summed per pair of sources:
+    # the map-side combine then holds one entry per pair, not one per pair of levels.
+    shares = sized.select("lang", "source", "v", "total", "p0")
+    weighted = words.join(shares, ["lang", "source"]).withColumn("p", share("level", "total", "v", scale))
+    a_words = weighted.select("lang", "source", "word", F.col("bits").alias("ba"), F.col("p").alias("pa"), "p0")
+    b_words = weighted.select(
+        "lang", F.col("source").alias("other"), "word", F.col("bits").alias("bb"), F.col("p").alias("qb"), F.col("p0").alias("q0")
     )
     cells = (
-        joint.join(pairs, ["lang", "source", "other"])
-        .withColumn("pa", share("la", "total", "v", scale))
-        .withColumn("qb", share("lb", "other_total", "v", scale))
+        a_words.join(b_words, ["lang", "word"])
+        .where(F.col("source") != F.col("other"))
         .select(
             "lang",
             "source",
             "other",
-            (_big("j") * (gain("pa", "qb") - gain("pa", "q0") - gain("p0", "qb") + gain("p0", "q0"))).alias("part_value"),
+            (
+                _big_of(F.bit_count(F.col("ba").bitwiseAND(F.col("bb"))))
+                * (gain("pa", "qb") - gain("pa", "q0") - gain("p0", "qb") + gain("p0", "q0"))
+            ).alias("part_value"),
         )
+        .groupBy("lang", "source", "other")
+        .agg(F.sum("part_value").alias("part_value"))
     )
     rows_a = (
         levels.join(pairs, ["lang", "source"])
