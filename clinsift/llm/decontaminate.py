@@ -16,8 +16,12 @@ the words around the seed included); a block is broadcast, and the documents are
 per block.  Everything is built-in functions, and documents are not shuffled: only verified
 overlaps are.
 
-Defined cases: a null text is empty; a row without words overlaps nothing; items of fewer than
-``MIN_WORDS`` words match nothing, as they say too little; repeated items or documents are
+Items of fewer than ``SPAN`` words have no seed.  For them a window is the whole item and 0.8 of
+at most four words is all of them, so they are matched as whole n-grams: one hash of the item's
+words, joined to the hashes of the document's n-grams of the lengths that occur among such
+items (at most four), in blocks of ``BLOCK`` items, and compared word by word.
+
+Defined cases: a null text is empty; a row without words overlaps nothing; repeated items or documents are
 reported under their id once.  Rows with a null id are reported under null.  Empty tables
 give an empty result; extra columns are ignored.
 """
@@ -33,7 +37,6 @@ from clinsift.llm.staging import staged
 
 MASKS = ((0, 1, 2, 3), (0, 2, 3, 4), (0, 1, 3, 4), (0, 1, 2, 4))
 SPAN = 5
-MIN_WORDS = 5
 BLOCK = 100_000
 
 
@@ -56,7 +59,7 @@ def _positions(texts: DataFrame) -> DataFrame:
 def seeds(benchmark: DataFrame, window: int, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """``key, item_id, ctx, off, size``: a seed, the words around it and its place in them."""
     items = benchmark.select(F.col(id_col).alias("id"), word_hashes(F.col(text_col)).alias("w"))
-    items = items.where(F.size("w") >= MIN_WORDS)
+    items = items.where(F.size("w") >= SPAN)
     reach = window - SPAN
     start = F.greatest(F.least(F.col("at") - reach, F.size("w") - window), F.lit(0))
     return (
@@ -72,6 +75,26 @@ def seeds(benchmark: DataFrame, window: int, id_col: str = "item_id", text_col:
     )
 
 
+def short_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """``key, item_id, w, size`` of the items with fewer words than a seed spans."""
+    items = benchmark.select(F.col(id_col).alias("item_id"), word_hashes(F.col(text_col)).alias("w"))
+    items = items.where((F.size("w") >= 1) & (F.size("w") < SPAN))
+    return items.select(F.xxhash64(F.size("w"), "w").alias("key"), "item_id", "w", F.size("w").alias("size"))
+
+
+def _short_hits(texts: DataFrame, items: DataFrame, lengths: list[int]) -> DataFrame:
+    """``doc_id, item_id, matched, size`` where a document holds a short item word for word."""
+    placed = texts.select("id", "w", F.posexplode("w").alias("at", "_"))
+    grams = [
+        F.when(F.col("at") + n <= F.size("w"), F.xxhash64(F.lit(n), F.slice("w", F.col("at") + 1, n)))
+        for n in lengths
+    ]
+    keyed = placed.select("id", "w", "at", F.explode(F.array(*grams)).alias("key")).where(F.col("key").isNotNull())
+    hits = keyed.join(F.broadcast(items.withColumnRenamed("w", "item_w")), "key")
+    exact = F.slice("w", F.col("at") + 1, F.col("size")) == F.col("item_w")
+    return hits.where(exact).select(F.col("id").alias("doc_id"), "item_id", F.col("size").alias("matched"), "size")
+
+
 def _best() -> Column:
     """Most agreeing words in any window of ``ctx`` laid on ``here``, from ``lead`` on."""
     same = F.transform(
@@ -120,12 +143,17 @@ def overlaps(
         )
     # written, so that the words of a whole document go no further than the join
     hits = staged(reduce(DataFrame.union, found), "hits")
-    return (
-        hits.select("doc_id", "item_id", "size", _best().alias("matched"))
-        .where(F.col("matched") >= F.ceil(F.col("size") * F.lit(similarity) - 1e-9))
-        .groupBy("doc_id", "item_id")
-        .agg(F.max("matched").alias("matched"), F.max("size").alias("size"))
+    verified = hits.select("doc_id", "item_id", "size", _best().alias("matched")).where(
+        F.col("matched") >= F.ceil(F.col("size") * F.lit(similarity) - 1e-9)
     )
+    short = staged(short_items(benchmark, item_id_col, item_text_col), "short_items")
+    lengths = sorted(r.size for r in short.select("size").distinct().collect())  # four at most
+    if lengths:
+        parts = max(1, -(-short.count() // block))
+        for n in range(parts):
+            some = short.where(F.pmod(F.xxhash64("key", "item_id"), F.lit(parts)) == n)
+            verified = verified.unionByName(_short_hits(texts, some, lengths).select(*verified.columns))
+    return verified.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"), F.max("size").alias("size"))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:

@@ -33,7 +33,7 @@ items as (
 dw as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as at from docs),
 iw as (
     select item_id, len(w) as n, unnest(w) as word, generate_subscripts(w, 1) as at
-    from items where len(w) >= 5),
+    from items),
 hits as (
     select doc_id, item_id, least(n, 13) as size, iw.at as place,
         count(*) over (partition by doc_id, item_id, dw.at - iw.at order by iw.at

@@ -38,8 +38,8 @@ def test_same_values_as_sql(spark, duck, name):
     assert difference(queries()[name](spark, SMALL), duck, oracle_sql()[name]) is None
 
 
-def test_ten_operators_and_five_stages():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11))
+def test_thirteen_operators_and_five_stages():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
 
 
