@@ -22,8 +22,8 @@ words, joined to the hashes of the document's n-grams of the lengths that occur
 items (at most four), in blocks of ``BLOCK`` items, and compared word by word.
 
 Defined cases: a null text is empty; a row without words overlaps nothing; repeated items or documents are
-reported under their id once.  Rows with a null id are reported under null.  Empty tables
-give an empty result; extra columns are ignored.
+reported under their id once.  Rows with a null id are reported under null (``keep_clean``
+judges each row by its own text).  Empty tables give an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -156,8 +156,25 @@ def overlaps(
     return verified.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"), F.max("size").alias("size"))
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
-    """The documents that overlap no item, in their own columns."""
-    leaks = overlaps(docs, benchmark, window).select(F.col("doc_id").alias("_leak")).distinct()
-    leaks = staged(leaks, "leaks")
-    return docs.join(leaks, F.col("doc_id").cast("long").eqNullSafe(F.col("_leak")), "left_anti")
+def _unused(columns: list[str], name: str) -> str:
+    taken = {c.lower() for c in columns}
+    n = 0
+    while f"{name}{n or ''}".lower() in taken:
+        n += 1
+    return f"{name}{n or ''}"
+
+
+def keep_clean(
+    docs: DataFrame, benchmark: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The documents that overlap no item, in their own columns and order.
+
+    Rows are told apart by a 64-bit hash of id and text, not by id: a row with a null or a
+    repeated id is judged by its own text, and rows equal in both are kept or dropped together.
+    The hash goes under a name none of the caller's columns has.
+    """
+    key = _unused(docs.columns, "_row")
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    found = overlaps(keyed.select(key, F.col(text_col).alias("text")), benchmark, window, id_col=key)
+    leaks = staged(found.select(F.col("doc_id").alias(key)).distinct(), "leaks")
+    return keyed.join(leaks, key, "left_anti").select(*docs.columns)

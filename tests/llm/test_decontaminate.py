@@ -2,6 +2,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from clinsift.llm.decontaminate import MASKS, SPAN, keep_clean, overlaps
 
@@ -60,3 +61,19 @@ def test_against_all_alignments(spark, block):
     assert clean == {d for d, _ in docs} - {d for d, _ in got}
     assert overlaps(df.limit(0), bench).count() == overlaps(df, bench.limit(0)).count() == 0
     assert SPAN == 5
+
+
+def test_keep_clean_by_row_with_clashing_columns(spark):
+    item = "one two three four five six seven eight nine ten"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [
+        (None, "here is " + item, 1, "a"), (None, "nothing to see", 2, "b"),  # null ids: judged row by row
+        (7, item, 3, "c"), (7, "clean words only", 4, "d"),  # a repeated id
+        (8, "clean", 5, "e"), (8, "clean", 5, "e"),  # repeated rows stay together
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row long, _leak string")
+    for extra in ("_row0", "id", "w", "key"):
+        df = df.withColumn(extra, F.lit(1))
+    kept = keep_clean(df, bench)
+    assert kept.columns == df.columns
+    assert sorted(r._row for r in kept.collect()) == [2, 4, 5, 5]
