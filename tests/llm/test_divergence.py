@@ -53,3 +53,31 @@ def test_top_and_empty(spark):
     assert got[got.part == "term"].groupby("source")["rank"].max().max() <= 200
     empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, v int, tid string")
     assert divergence(empty).collect() == []
+
+
+def test_counts_of_many_flushes_meet_and_sources_meet_once(spark, monkeypatch):
+    # tasks pass their counts on in parts; each two sources are joined in one direction only
+    import pyarrow as pa
+
+    from clinsift.llm import divergence as module
+
+    monkeypatch.setattr(module, "_HELD", 3)
+    table = pa.RecordBatch.from_pydict(
+        {"lang": ["en"] * 3 + ["fr"], "source": ["s", "t", "s", "s"], "text": ["Ab ab É1é", "ab x y z", "AB\x00cd_漢字", ""]}
+    )
+    parts = [row for b in module._count(iter([table])) for row in b.to_pylist()]
+    sums = {}
+    for row in parts:
+        n, d = sums.get(key := (row["lang"], row["source"], row["term"]), (0, 0))
+        sums[key] = (n + row["count"], d + row["docs"])
+    assert len(parts) > len(sums)
+    assert sums == {
+        ("en", "s", "ab"): (3, 2), ("en", "s", "É"): (1, 1), ("en", "s", "é"): (1, 1), ("en", "t", "ab"): (1, 1), ("en", "t", "x"): (1, 1),
+        ("en", "t", "y"): (1, 1), ("en", "t", "z"): (1, 1), ("en", "s", "cd"): (1, 1), ("en", "s", "漢字"): (1, 1),
+    }
+    rows = [(i, "a b c a", "en", f"s{i % 4}") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    plan = divergence(df)._jdf.queryExecution().optimizedPlan().toString()
+    # words without a common term leave in the join, before any weight is computed
+    assert any("Join Inner" in line and "bits" in line and " < " in line for line in plan.split("\n"))
+    same(spark, rows)
