@@ -11,7 +11,8 @@ back by itself between its two states.  Documents of one chunk are traced back r
 
 Blanks are the piece mark U+2581, one is put in front, and no piece has a mark after another
 character, so there is a cut before each run of marks; words with the marks before them are
-solved once and remembered (in a bounded table).  Scores below ``FLOOR``, which
+solved once and remembered (in a bounded table).  New words are solved in sorted order, so that
+the beginning a word shares with the one before it is solved once.  Scores below ``FLOOR``, which
 stand for "last resort", count as ``FLOOR``.  Of equally good cuts, the one with the least
 sum of fixed weights of its cut positions within the word is taken, so that the result does
 not depend on where chunks end.
@@ -47,6 +48,7 @@ _SCALE = 1 << 30  # scores come before cut weights
 _LOW = -(1 << 200)
 _NEVER = np.int64(-(1 << 61))
 _WORDS = 250_000  # words remembered by one worker, some 60 MB
+_TOGETHER = 1 << 20  # characters whose new words are solved together
 _CUTS = [int(x) for x in np.random.default_rng(11).integers(1, 1 << 14, 4096)]
 
 
@@ -107,6 +109,16 @@ class Pieces:
                 level = level.setdefault(char, ({}, None, None))[0]
             below = level.get(piece[-1], ({}, None, None))[0]
             level[piece[-1]] = (below, i, score)
+        # the same from behind: last character first
+        self.tails: dict[str, tuple[dict, int | None, int | None]] = {}
+        for piece, (i, score) in self.pieces.items():
+            level = self.tails
+            for char in piece[:0:-1]:
+                level = level.setdefault(char, ({}, None, None))[0]
+            below = level.get(piece[0], ({}, None, None))[0]
+            level[piece[0]] = (below, i, score)
+        self.sizes = {i: len(piece) for piece, (i, _) in self.pieces.items()}
+        self.packed = [struct.pack("<i", i) for i in range(len(self.scores))]
         self.shown = np.array([*self.shown, None], object)[:-1]
         # neighbours that some piece holds together; between any others there is a cut
         self.joined = {p[k : k + 2] for p in self.pieces for k in range(len(p) - 1)}
@@ -141,37 +153,71 @@ class Pieces:
                     value[i + 1], back[i + 1] = new, (i, -1)
         return value, back
 
-    def _solve(self, unit: str) -> bytes:
-        """Ids of one word with its mark: ``trace`` for the case where every place is reached."""
-        n = len(unit)
-        value, begin, how = [0] + [_LOW] * n, [0] * (n + 1), [0] * (n + 1)
-        root, cuts, pieces = self.root, _CUTS, self.pieces
-        for i in range(n):
-            base, level, j = value[i], root, i
-            for char in unit[i : i + self.longest]:
-                step = level.get(char)
-                if step is None:
+    def _solve(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of sorted words, each with its mark: ``trace`` for the case where every place is reached.
+
+        The best value of a place depends on what is before it only, so the values of the
+        beginning that a word shares with the one before it are kept.
+        """
+        tails, cuts, pieces, sizes, packed = self.tails, _CUTS, self.pieces, self.sizes, self.packed
+        value, how = [0], [-1]
+        before = ""
+        for word in words:
+            unit = MARK + word
+            n, shared = len(unit), 0
+            for x, y in zip(before, unit, strict=False):
+                if x != y:
                     break
-                level, piece, score = step
-                j += 1
-                if piece is not None:
-                    new = base + score - cuts[j & 4095]
-                    if new > value[j]:
-                        value[j], begin[j], how[j] = new, i, piece
-            if j == i or unit[i] not in pieces:
-                new = base + _UNKNOWN * _SCALE - cuts[(i + 1) & 4095]
-                if new > value[i + 1]:
-                    value[i + 1], begin[i + 1], how[i + 1] = new, i, -1
-        ids: list[int] = []
-        at = n
-        while at:
-            before = begin[at]
-            if how[at] >= 0:
-                ids.append(how[at])
+                shared += 1
+            del value[shared + 1 :], how[shared + 1 :]
+            before = unit
+            for j in range(shared, n):
+                best, by = (_LOW, -1) if unit[j] in pieces else (value[j] + _UNKNOWN * _SCALE, -1)
+                level = tails
+                for i in range(j, -1, -1):
+                    step = level.get(unit[i])
+                    if step is None:
+                        break
+                    level, piece, score = step
+                    if piece is not None:
+                        new = value[i] + score
+                        if new >= best:
+                            best, by = new, piece
+                value.append(best - cuts[(j + 1) & 4095])
+                how.append(by)
+            ids: list[bytes] = []
+            at = n
+            while at:
+                by = how[at]
+                if by >= 0:
+                    ids.append(packed[by])
+                    at -= sizes[by]
+                else:
+                    at -= 1
+                    ids.append(b"".join(packed[self.bytes[b]] for b in unit[at].encode()))
+            ids.reverse()
+            yield b"".join(ids)
+
+    def _learn(self, words: set[str]) -> None:
+        """Solve and remember the words that are not known yet."""
+        known = self._words
+        if len(known) > _WORDS:
+            known.clear()
+        whole, ended = set(), []
+        for word in words.difference(known):
+            if len(word) > 1 and word[-2:] not in self.joined:  # often a comma: the rest may be known
+                ended.append(word)
+                if word[:-1] not in known:
+                    whole.add(word[:-1])
             else:
-                ids.extend(self.bytes[b] for b in reversed(unit[before:at].encode()))
-            at = before
-        return struct.pack(f"<{len(ids)}i", *reversed(ids))
+                whole.add(word)
+        ordered = sorted(whole)
+        known.update(zip(ordered, self._solve(ordered), strict=True))
+        for word in ended:
+            char = word[-1]
+            last = self.pieces.get(char)
+            end = self.packed[last[0]] if last else b"".join(self.packed[self.bytes[b]] for b in char.encode())
+            known[word] = known[word[:-1]] + end
 
     def trace(self, text: str, start: int, stop: int, last: int, lead: int) -> list[int]:
         """Ids of the best path from ``start`` to ``stop``."""
@@ -191,21 +237,26 @@ class Pieces:
         """
         if "" in words:
             words = _with_marks(words)
-        known = self._words
-        if len(known) > _WORDS:
-            known.clear()
-        for word in set(words).difference(known):
-            if len(word) > 1 and word[-2:] not in self.joined:  # often a comma: the rest may be known
-                rest = known.get(word[:-1])
-                if rest is None:
-                    rest = known[word[:-1]] = self._solve(MARK + word[:-1])
-                known[word] = rest + self._solve(word[-1])
-            else:
-                known[word] = self._solve(MARK + word)
-        return b"".join(map(known.__getitem__, words))
+        self._learn(set(words))
+        return b"".join(map(self._words.__getitem__, words))
 
     def encode(self, text: str) -> bytes:
-        return self.words(text.replace(MARK, " ").split(" ")) if text else b""
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text; the new words of some ``_TOGETHER`` characters are solved together."""
+        held: list[list[str]] = []
+        size = 0
+        for k, text in enumerate(texts):
+            words = text.replace(MARK, " ").split(" ") if text else []
+            held.append(_with_marks(words) if "" in words else words)
+            size += len(text)
+            if size >= _TOGETHER or k + 1 == len(texts):
+                self._learn(set().union(*held))
+                known = self._words.__getitem__
+                for words in held:
+                    yield b"".join(map(known, words))
+                held, size = [], 0
 
     # chunks -------------------------------------------------------------------------------
 
@@ -387,7 +438,7 @@ def encode(
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                ids = [pieces.encode(t) for t in some.column(1).to_pylist()]
+                ids = list(pieces.encode_all(some.column(1).to_pylist()))
                 out = _id_batch(["doc_id"], [some.column(0)], ids)
                 yield out.append_column("text", _texts(pieces, out.column("ids"))) if decoded else out
 

@@ -146,3 +146,36 @@ def test_runs_of_blanks_are_scored_as_by_the_library(pieces, texts):
         for chunk in (1, 2, 3, 7, 16, 64):
             assert by_chunks(pieces, text, chunk) == ids(pieces, text)
         assert pieces.decode(pa.array(ids(pieces, text), pa.int32())) == text
+
+
+def test_words_solved_together_get_the_ids_of_each(pieces, texts, monkeypatch):
+    # beginnings shared with the sorted neighbour are solved once; ids are those of the lattice
+    monkeypatch.setattr(piece_scan, "_TOGETHER", 500)
+    r = random.Random(11)
+    some = [t[:700] for t in texts[:80]] + ["", " ", "a  b ", MARK, "the, then; they", "x" * 5000, "漢字 \x00 漢 漢漢"]
+    some += ["".join(r.choice("thean,.$é漢 \x00\U0001f600") for _ in range(r.randrange(60))) for _ in range(300)]
+    pieces._words.clear()
+    found = [np.frombuffer(b, "<i4").tolist() for b in pieces.encode_all(some)]
+    for text, got in zip(some, found, strict=True):
+        words = piece_scan._with_marks(text.replace(MARK, " ").split(" ")) if text else []
+        units = [MARK + w for w in words]
+        assert got == [i for u in units for i in pieces.trace(u, 0, len(u), len(u), 0)]
+    steps = []
+    pieces.tails, tails = _Counted(pieces.tails, steps), pieces.tails
+    list(pieces._solve(["sharing"]))
+    once = len(steps)
+    list(pieces._solve(["sharing", "sharings"]))
+    pieces.tails = tails
+    assert once == len("sharing") + 1 and len(steps) == 2 * once + 1
+
+
+class _Counted(dict):
+    """Counts how many places are solved: each looks at the first level once."""
+
+    def __init__(self, of, steps):
+        super().__init__(of)
+        self.steps = steps
+
+    def get(self, key, default=None):
+        self.steps.append(key)
+        return super().get(key, default)
