@@ -19,7 +19,7 @@ Defined cases and limits:
   another day can change the findings of untouched clients (ages, days since).
 * Rule 2 in detection without ``site_safe`` pairs clients of all sites by number, so for it a
   touched number is judged again at every site.
-* Findings are multisets: repeated rows are compared by their number (``exceptAll``).
+* Findings are multisets: repeated rows are compared by their number, as by ``exceptAll``.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ from clinsift.sources.sinks import CHECKPOINT_CONF, stage
 from clinsift.sources.tables import RecordTables
 
 CHANGE = "change"
+_JUDGED = "_judged"
+_BLOCK = 10_000  # copies of a row made at once
 NEW, CLEARED, UNCHANGED = "new", "cleared", "unchanged"
 LOOKUPS = ("encounter_type", "concept_name")
 # how the rows of each client-keyed table name their client
@@ -130,7 +132,10 @@ def findings_delta(
     touched = touched_clients(tables, changes)
     if touched is None:  # a lookup table changed: every client is judged again
         return {
-            name: _compare(run_rule(name, tables, cfg, as_of=as_of, variant=variant, site_safe=site_safe), before[name])
+            name: _compare(
+                run_rule(name, tables, cfg, as_of=as_of, variant=variant, site_safe=site_safe).withColumn(_JUDGED, F.lit(True)),
+                before[name].withColumn(_JUDGED, F.lit(True)),
+            )
             for name in chosen
         }
     if spark_conf_set(touched):
@@ -143,21 +148,33 @@ def findings_delta(
         if by not in slices:
             slices[by] = restrict(tables, touched, small, by)
         now = run_rule(name, slices[by], cfg, as_of=as_of, variant=variant, site_safe=site_safe)
-        keys = touched.select(*by).distinct()
-        earlier = before[name].select(*now.columns)
-        judged = _keep(earlier, keys, by, small)
-        untouched = earlier.join(F.broadcast(keys) if small else keys, list(by), "left_anti")
-        out[name] = _compare(now, judged).unionByName(untouched.withColumn(CHANGE, F.lit(UNCHANGED)))
+        keys = touched.select(*by).distinct().withColumn(_JUDGED, F.lit(True))
+        earlier = before[name].select(*now.columns).join(F.broadcast(keys) if small else keys, list(by), "left")
+        out[name] = _compare(now.withColumn(_JUDGED, F.lit(True)), earlier)
     return out
 
 
 def _compare(now: DataFrame, earlier: DataFrame) -> DataFrame:
-    """Rows of both as new, cleared or unchanged, counting repeated rows."""
-    earlier = earlier.select(*now.columns)
+    """Rows of both as new, cleared or unchanged, counting repeated rows.
+
+    ``_JUDGED`` marks rows of clients that were judged again; other earlier rows are unchanged.
+    One grouping of both sides: set operations would compute each side once per operation, and
+    where both sides are partitioned alike, all in the same tasks.
+    """
+    columns = [c for c in now.columns if c != _JUDGED]
+    both = now.withColumn("_now", F.lit(1)).unionByName(earlier.select(*now.columns).withColumn("_now", F.lit(0)))
+    counted = both.groupBy(*columns, _JUDGED).agg(
+        F.sum("_now").alias("_after"), F.sum(1 - F.col("_now")).alias("_before")
+    )
+    same = F.when(F.col(_JUDGED), F.least("_after", "_before")).otherwise(F.col("_before"))
+    kinds = [(NEW, F.col("_after") - same), (CLEARED, F.col("_before") - same), (UNCHANGED, same)]
+    # a count becomes rows block by block, so that no array holds very many copies
     return (
-        now.exceptAll(earlier).withColumn(CHANGE, F.lit(NEW))
-        .unionByName(earlier.exceptAll(now).withColumn(CHANGE, F.lit(CLEARED)))
-        .unionByName(now.intersectAll(earlier).withColumn(CHANGE, F.lit(UNCHANGED)))
+        counted.select(*columns, F.inline(F.array(*(F.struct(F.lit(k).alias(CHANGE), n.alias("_n")) for k, n in kinds))))
+        .where("_n > 0")
+        .select(*columns, CHANGE, "_n", F.explode(F.expr(f"sequence(0L, (_n - 1) div {_BLOCK})")).alias("_block"))
+        .withColumn("_copy", F.explode(F.expr(f"array_repeat(1, cast(least({_BLOCK}, _n - _block * {_BLOCK}) as int))")))
+        .select(*columns, CHANGE)
     )
 
 

@@ -67,3 +67,25 @@ def test_lookup_changes_touch_everyone_and_no_changes_touch_nobody(spark, versio
     assert set(r[0] for r in same.select(CHANGE).distinct().collect()) == {"unchanged"}
     with pytest.raises(ValueError, match="client key"):
         touched_clients(new, {"visits": old.encounter})
+
+
+def test_each_side_is_computed_once_and_copies_are_counted(spark, versions, tmp_path, monkeypatch):
+    from clinsift.plans import delta as module
+
+    monkeypatch.setattr(module, "_BLOCK", 3)
+    frame = lambda rows: spark.createDataFrame(rows, "patient_id long, site_id int, flag string")
+    now = frame([(1, 1, "a")] * 8 + [(1, 1, None)] * 2 + [(2, 1, "b")]).withColumn("_judged", F.lit(True))
+    earlier = frame([(1, 1, "a")] + [(1, 1, None)] * 5 + [(3, 1, "c")] * 7)
+    judged = F.when(F.col("patient_id") < 3, F.lit(True))
+    got = Counter(tuple(r) for r in module._compare(now, earlier.withColumn("_judged", judged)).collect())
+    assert got == {
+        (1, 1, "a", "unchanged"): 1, (1, 1, "a", "new"): 7, (1, 1, None, "unchanged"): 2, (1, 1, None, "cleared"): 3,
+        (2, 1, "b", "new"): 1, (3, 1, "c", "unchanged"): 7,
+    }
+    old, new, changes = versions
+    name, at = "r07_peds_missing_vitals", str(tmp_path / "before")
+    run_rule(name, old, CONFIG, as_of=AS_OF).write.parquet(at)
+    delta = findings_delta(new, changes, {name: spark.read.parquet(at)}, CONFIG, rules=[name], as_of=AS_OF)[name]
+    plan = delta._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("DQ_flag") and sum("Relation" in line and "DQ_flag" in line for line in plan.split("\n")) == 1
+    assert plan.count("max(") == 3  # one pivot of the measurements, of the new tables
