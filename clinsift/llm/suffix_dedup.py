@@ -15,7 +15,9 @@ only suffixes that can matter are sorted, and only those that can be equal are e
    the key before, then the rest.  A loser tree that carries common prefix lengths merges the
    runs, so that known prefixes are never compared again.  Keys that share an anchor come out
    together; the windows in them are compared in full and get the smallest id that has them.
-3. *Removal.*  Answers become byte ranges of the documents that sent the keys.
+3. *Removal.*  Answers become byte ranges and go back to the run that sent the keys, packed: one
+   row per run and bucket, as on the way there, however many documents share something.  A
+   run's ranges are put together per document.
 
 A block answers by itself for every document but the smallest one that has a key, so of a
 passage in a third of all documents each block sends one copy.  Anchors in more than ``HOT``
@@ -46,7 +48,8 @@ from clinsift.llm.staging import staged, width
 LENGTH = 50
 GRAM = 24
 HOT = 20_000  # documents with an anchor, some MB of keys; above, it is dealt by windows
-_BLOCK = 1 << 21  # bytes of text in a block; its hashes take some 150 MB
+_BLOCK = 1 << 21  # bytes of text in a block; its hashes and places take some 50 MB
+_SLICE = 1 << 17  # windows hashed at a time
 _KEYS = 1 << 24  # bytes of keys in a run
 _POS = np.uint64(25)  # bits of a position in a block
 _DROP = np.uint64(16)  # bits of a hash not exchanged: 48 tell anchors apart well enough, as
@@ -57,6 +60,7 @@ _CAND = np.dtype([("p", "<u4"), ("n", "u1"), ("o", "u1"), ("hot", "u1")])
 _DOC = np.dtype([("id", "<i8"), ("key", "<i8")])
 _RANGE = np.dtype([("p", "<u4"), ("n", "<u4")])
 _SENT = np.dtype([("id", "<i8"), ("key", "<i8"), ("p", "<u4"), ("n", "u1"), ("s", "<u4")])
+_GONE = np.dtype([("id", "<i8"), ("key", "<i8"), ("p", "<u4"), ("n", "<u4")])
 
 
 def _pack(array: np.ndarray) -> bytes:
@@ -79,13 +83,8 @@ def _starts(values: np.ndarray) -> np.ndarray:
 # anchors ------------------------------------------------------------------------------------
 
 
-def anchors(units: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Hash, unit, first window, number of windows and place in the first window of all anchors."""
-    sizes = np.array([max(0, len(u) - length + 1) for u in units])
-    if not sizes.sum():
-        return tuple(np.empty(0, t) for t in (np.uint64, int, int, int, int))
-    text = np.frombuffer(b"".join(units), np.uint8)
-    begins = np.concatenate(([0], np.cumsum([len(u) for u in units])[:-1]))
+def _gram_hashes(text: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of the ``gram`` bytes from each place on."""
     with np.errstate(over="ignore"):
         factor = np.uint64(0x100000001B3)
         part = text.astype(np.uint64) + np.uint64(1)  # hashes of 1, 2, 4, ... bytes
@@ -107,23 +106,36 @@ def anchors(units: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...
         hashed ^= hashed >> np.uint64(31)
         hashed *= np.uint64(0x9E3779B97F4A7C15)
         hashed ^= hashed >> np.uint64(29)
-    low = (hashed >> _POS << _POS) | np.arange(len(hashed), dtype=np.uint64)
-    window, have = length - gram + 1, 1
-    while have < window:  # the least of the grams in each window
-        step = min(have, window - have)
-        low = np.minimum(low[:-step], low[step:])
-        have += step
-    unit = np.repeat(np.arange(len(units)), sizes)
-    first = np.concatenate([np.arange(b, b + s) for b, s in zip(begins, sizes, strict=True)])
-    at = (low[first] & np.uint64((1 << int(_POS)) - 1)).astype(np.int64)
+    return hashed
+
+
+def anchors(units: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Hash, unit, first window, number of windows and place in the first window of all anchors."""
+    sizes = np.array([max(0, len(u) - length + 1) for u in units])
+    if not sizes.sum():
+        return tuple(np.empty(0, t) for t in (np.uint64, int, int, int, int))
+    text = np.frombuffer(b"".join(units), np.uint8)
+    begins = np.concatenate(([0], np.cumsum([len(u) for u in units])[:-1]))
+    hashes = np.empty(len(text) - gram + 1, np.uint64)
+    at = np.empty(len(text) - length + 1, np.int32)
+    for s in range(0, len(at), _SLICE):
+        e = min(s + _SLICE, len(at))
+        hashed = _gram_hashes(text[s : e + length - 1], gram)
+        hashes[s : s + len(hashed)] = hashed
+        low = (hashed >> _POS << _POS) | np.arange(s, s + len(hashed), dtype=np.uint64)
+        window, have = length - gram + 1, 1
+        while have < window:  # the least of the grams in each window
+            step = min(have, window - have)
+            low = np.minimum(low[:-step], low[step:])
+            have += step
+        at[s:e] = low & np.uint64((1 << int(_POS)) - 1)
+    unit = np.repeat(np.arange(len(units), dtype=np.int32), sizes)
+    first = np.concatenate([np.arange(b, b + s, dtype=np.int32) for b, s in zip(begins, sizes, strict=True)])
+    at = at[first]
     cut = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (unit[1:] != unit[:-1]))))
-    return (
-        hashed[at[cut]],
-        unit[cut],
-        first[cut] - begins[unit[cut]],
-        np.diff(np.append(cut, len(at))),
-        at[cut] - first[cut],
-    )
+    number = np.diff(np.append(cut, len(at)))
+    at, first, unit = (x[cut].astype(np.int64) for x in (at, first, unit))
+    return hashes[at], unit, first - begins[unit], number, at - first
 
 
 def _anchor_runs(length: int, gram: int, buckets: int, block: int):
@@ -204,8 +216,8 @@ _RUN = pa.schema(
 )
 _KEY_RUN = pa.schema(
     [
-        ("bucket", pa.int32()), *((c, pa.binary()) for c in ("keys", "ids", "sent")),
-        ("id", pa.int64()), ("key", pa.int64()), ("ranges", pa.binary()),
+        ("bucket", pa.int32()), ("run", pa.int64()),
+        *((c, pa.binary()) for c in ("keys", "ids", "sent", "gone")),
     ]
 )
 
@@ -233,16 +245,19 @@ def _shared(hot: int, group: pd.DataFrame) -> pd.DataFrame:
     group = group[group["kind"] == 0]
     if len(group):
         hashes = [np.cumsum(_unpack(x, "<u8"), dtype=np.uint64) for x in group["hashes"]]
-        docs = np.concatenate([_unpack(x, "<u4") for x in group["docs"]]).astype(np.int64)
+        ends = np.cumsum([len(h) for h in hashes])[:-1]
         whole = np.concatenate(hashes)
+        hashes = np.split(whole, ends)  # views: the parts are not held twice
         order = np.argsort(whole, kind="stable")
         first = _starts(whole[order])
-        total = np.add.reduceat(docs[order], first)
-        spread = np.repeat(total, np.diff(np.append(first, len(whole))))
+        docs = np.concatenate([_unpack(x, "<u4") for x in group["docs"]])
+        total = np.add.reduceat(docs[order], first, dtype=np.int64)
+        kinds = (total > 1).astype(np.uint8) + (total > hot)
         state = np.zeros(len(whole), np.uint8)
-        state[order] = (spread > 1).astype(np.uint8) + (spread > hot)
+        state[order] = np.repeat(kinds, np.diff(np.append(first, len(whole))))
+        del docs, total, order, first
         rows = []
-        states = np.split(state, np.cumsum([len(h) for h in hashes])[:-1])
+        states = np.split(state, ends)
         for run, h, counts, occ, st in zip(
             group["run"], hashes, group["counts"], group["occ"], states, strict=True
         ):
@@ -384,7 +399,7 @@ def _key_runs(length: int, gram: int, buckets: int, run_bytes: int):
 
     def flush(run: int, keys: list[bytes], where: list[tuple]) -> Iterator[dict]:
         order = sorted(range(len(keys)), key=keys.__getitem__)
-        settled: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        settled: list[tuple[int, int, int, int]] = []
         sent: dict[int, tuple[list, list, list]] = {}
         i = 0
         while i < len(order):
@@ -397,7 +412,7 @@ def _key_runs(length: int, gram: int, buckets: int, run_bytes: int):
             strings, ids, places = sent.setdefault(bucket, ([], [], []))
             for doc, text, p, n in own:
                 if doc > low:
-                    settled.setdefault((doc, text), []).append((p, n))
+                    settled.append((doc, text, p, n))
                 else:
                     places.append((doc, text, p, n, len(strings)))
             strings.append(key)
@@ -405,16 +420,14 @@ def _key_runs(length: int, gram: int, buckets: int, run_bytes: int):
             i = j
         for bucket, (strings, ids, places) in sent.items():
             yield {
-                "bucket": bucket, "keys": front_code(strings),
+                "bucket": bucket, "run": run, "keys": front_code(strings),
                 "ids": _pack(np.array(ids, "<i8")), "sent": _pack(np.array(places, _SENT)),
-                "id": 0, "key": 0,  # not null, or pandas would make floats of all ids
             }
-        for n, ((doc, text), ranges) in enumerate(settled.items()):
-            ranges = np.array(ranges, _RANGE).tobytes()
-            yield {"bucket": (run + n) % buckets, "id": doc, "key": text, "ranges": ranges}
+        if settled:
+            yield {"bucket": run % buckets, "run": run, "gone": _pack(np.array(settled, _GONE))}
 
     def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run = TaskContext.get().partitionId()
+        run = TaskContext.get().partitionId() << 32
         keys: list[bytes] = []  # with the bucket in front
         where: list[tuple] = []
         size = 0
@@ -475,7 +488,7 @@ def _answers(length: int, gram: int):
             masks[r][i] = mask
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        settled = group[group["keys"].isna()][["id", "key", "ranges"]]
+        settled = group[group["keys"].isna()][["run", "gone"]]
         group = group[group["keys"].notna()]
         if not len(group):
             return settled
@@ -490,26 +503,52 @@ def _answers(length: int, gram: int):
             held.append((key, r, i))
         if held:
             settle(held, ids, masks)
-        told = [x for sent, mask in zip(group["sent"], masks, strict=True) for x in _ranges(sent, mask)]
-        return pd.concat([settled, pd.DataFrame(told, columns=["id", "key", "ranges"])])
+        told = []
+        for number, sent, mask in zip(group["run"], group["sent"], masks, strict=True):
+            gone = _ranges(sent, mask)
+            if len(gone):
+                told.append((number, _pack(gone)))
+        return pd.concat([settled, pd.DataFrame(told, columns=["run", "gone"])])
 
     return run
 
 
-def _ranges(sent: bytes, mask: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+def _ranges(sent: bytes, mask: np.ndarray) -> np.ndarray:
     """The masks of a run's keys as byte ranges of the documents that have them."""
     places = _unpack(sent, _SENT)
     mask = mask[places["s"]]
-    some = mask > 0
-    ranges: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for (doc, key, p, n, _), m in zip(places[some].tolist(), mask[some].tolist(), strict=True):
-        own = ranges.setdefault((doc, key), [])
-        if m == (1 << n) - 1:
-            own.append((p, n))
-        else:
-            own.extend((p + i, 1) for i in range(n) if m >> i & 1)
-    for (doc, key), own in ranges.items():
-        yield doc, key, np.array(own, _RANGE).tobytes()
+    places, mask = places[mask > 0], mask[mask > 0]
+    count = places["n"].astype(np.uint64)
+    full = mask == (np.uint64(1) << count) - np.uint64(1)
+    parts = [(places[full], places["p"][full], places["n"][full])]
+    some, bits = places[~full], mask[~full]
+    for i in range(int(some["n"].max(initial=0))):  # windows one by one
+        hit = bits >> np.uint64(i) & np.uint64(1) > 0
+        parts.append((some[hit], some["p"][hit] + np.uint32(i), np.uint32(1)))
+    out = []
+    for of, p, n in parts:
+        gone = np.zeros(len(of), _GONE)
+        gone["id"], gone["key"], gone["p"], gone["n"] = of["id"], of["key"], p, n
+        out.append(gone)
+    return np.concatenate(out)
+
+
+def _by_document(group: pd.DataFrame) -> pd.DataFrame:
+    """All ranges of a run's documents, one row per document."""
+    gone = np.concatenate([_unpack(x, _GONE) for x in group["gone"]])
+    gone = gone[np.lexsort((gone["key"], gone["id"]))]
+    first = np.flatnonzero(
+        np.concatenate(([True], (gone["id"][1:] != gone["id"][:-1]) | (gone["key"][1:] != gone["key"][:-1])))
+    )
+    ranges = np.zeros(len(gone), _RANGE)
+    ranges["p"], ranges["n"] = gone["p"], gone["n"]
+    ends = np.append(first[1:], len(gone))
+    return pd.DataFrame(
+        {
+            "id": gone["id"][first], "key": gone["key"][first],
+            "ranges": [ranges[s:e].tobytes() for s, e in zip(first, ends, strict=True)],
+        }
+    )
 
 
 def _cut(length: int):
@@ -569,18 +608,21 @@ def remove_repeats(
     # rows that repeat a document may lie in several runs
     by_doc = candidates.groupBy("id", "key").agg(F.collect_list("cand").alias("cand"))
     found = (
-        rows.join(staged(by_doc, "candidates"), ["id", "key"])
+        rows.join(staged(by_doc, "candidates", clean=True), ["id", "key"])
         .select("id", "key", "text", "cand")
         .mapInArrow(
             _key_runs(length, gram, buckets, run_bytes),
-            "bucket int, keys binary, ids binary, sent binary, id long, key long, ranges binary",
+            "bucket int, run long, keys binary, ids binary, sent binary, gone binary",
         )
         .groupBy("bucket")
-        .applyInPandas(_answers(length, gram), "id long, key long, ranges binary")
+        .applyInPandas(_answers(length, gram), "run long, gone binary")
+        .groupBy("run")
+        .applyInPandas(_by_document, "id long, key long, ranges binary")
     )
     ranges = staged(
         found.groupBy("id", "key").agg(F.collect_list("ranges").alias("ranges")),
         "ranges",
+        clean=True,
     )
     return (
         rows.join(ranges, ["id", "key"], "left")

@@ -1,7 +1,10 @@
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 
+from clinsift.llm import suffix_dedup
 from clinsift.llm.suffix_dedup import front_code, front_decode, merge, remove_repeats
 
 
@@ -68,3 +71,22 @@ def test_front_coded_runs_merge_in_order():
         for (a, *_), (b, shared, run, at) in zip(merged, merged[1:], strict=False):
             same = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
             assert shared == same and runs[run][at] == b
+
+
+def test_answers_are_a_row_per_run_however_many_documents_share_keys():
+    r = random.Random(4)
+    keys = sorted(bytes(r.choice(b"abcdef") for _ in range(50)) + b"\0\1" for _ in range(60))
+    rows = []
+    for run in (7, 8, 9):
+        ids = np.arange(60) + 1000 * run
+        sent = np.array([(d, -d, 5, 1, s) for s, d in enumerate(ids.tolist())], suffix_dedup._SENT)
+        rows.append((run, front_code(keys), suffix_dedup._pack(ids.astype("<i8")), suffix_dedup._pack(sent), None))
+    settled = np.array([(8010, -8010, 90, 2), (8010, -8010, 95, 1)], suffix_dedup._GONE)
+    rows.append((8, None, None, None, suffix_dedup._pack(settled)))
+    group = pd.DataFrame(rows, columns=["run", "keys", "ids", "sent", "gone"])
+    told = suffix_dedup._answers(50, 24)(group)
+    assert len(told) <= len(group) and set(told["run"]) == {8, 9}  # the first run has the smallest ids
+    found = suffix_dedup._by_document(told[told["run"] == 8])
+    assert found["id"].tolist() == list(range(8000, 8060)) and found["key"].tolist() == [-x for x in found["id"]]
+    spans = {i: np.frombuffer(x, suffix_dedup._RANGE).tolist() for i, x in zip(found["id"], found["ranges"], strict=True)}
+    assert sorted(spans[8010]) == [(5, 1), (90, 2), (95, 1)] and spans[8011] == [(5, 1)]
