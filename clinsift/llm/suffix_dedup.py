@@ -20,7 +20,9 @@ only suffixes that can matter are sorted, and only those that can be equal are e
    run's ranges are put together per document.
 
 A block answers by itself for every document but the smallest one that has a key, so of a
-passage in a third of all documents each block sends one copy.  Anchors in more than ``HOT``
+passage in a third of all documents each block sends one copy.  An anchor is the least of some
+hashes, so small hashes are common; the buckets of step 1 follow that, and those of step 2 are as
+many as the keys need: a task holds about as much of a small input as of a large one.  Anchors in more than ``HOT``
 documents are sent window by window and dealt by the window's hash instead of the anchor's, so
 no task meets all texts around a frequent passage.  Nothing is dropped in either case.
 
@@ -32,7 +34,9 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -51,6 +55,7 @@ HOT = 20_000  # documents with an anchor, some MB of keys; above, it is dealt by
 _BLOCK = 1 << 21  # bytes of text in a block; its hashes and places take some 50 MB
 _SLICE = 1 << 17  # windows hashed at a time
 _KEYS = 1 << 24  # bytes of keys in a run
+_BUCKET_KEYS = 1 << 18  # keys that meet in a bucket on average, at most; each takes some 150 bytes there
 _POS = np.uint64(25)  # bits of a position in a block
 _DROP = np.uint64(16)  # bits of a hash not exchanged: 48 tell anchors apart well enough, as
 # anchors that only share a hash are compared in full later
@@ -61,16 +66,18 @@ _DOC = np.dtype([("id", "<i8"), ("key", "<i8")])
 _RANGE = np.dtype([("p", "<u4"), ("n", "<u4")])
 _SENT = np.dtype([("id", "<i8"), ("key", "<i8"), ("p", "<u4"), ("n", "u1"), ("s", "<u4")])
 _GONE = np.dtype([("id", "<i8"), ("key", "<i8"), ("p", "<u4"), ("n", "<u4")])
+_compress = zstandard.ZstdCompressor(level=1).compress
+_decompress = zstandard.ZstdDecompressor().decompress
 
 
 def _pack(array: np.ndarray) -> bytes:
     """Bytes of like weight next to each other, compressed."""
     planes = array.view(np.uint8).reshape(len(array), array.dtype.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return _compress(planes.tobytes())
 
 
 def _unpack(data: bytes, dtype) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    raw = np.frombuffer(_decompress(data), np.uint8)
     size = np.dtype(dtype).itemsize
     return np.ascontiguousarray(raw.reshape(size, -1).T).view(dtype).ravel()
 
@@ -138,7 +145,30 @@ def anchors(units: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...
     return hashes[at], unit, first - begins[unit], number, at - first
 
 
+def _edges(buckets: int, window: int) -> np.ndarray:
+    """Hashes that part the anchors of windows of ``window`` grams into buckets of like size.
+
+    A gram is an anchor if its hash is the least of some window, so anchors crowd at small
+    hashes: by equal ranges of hashes the first of many buckets would get ``(window + 1) / 2``
+    times its share.
+    """
+
+    def below(u: np.ndarray) -> np.ndarray:  # share of the anchors of random hashes
+        q = 1 - u
+        return ((window + 1) * (1 - q**window) - (window - 1) * (1 - q ** (window + 1))) / 2
+
+    wanted = np.arange(1, buckets) / buckets
+    low, high = np.zeros(buckets - 1), np.ones(buckets - 1)
+    for _ in range(60):
+        mid = (low + high) / 2
+        less = below(mid) < wanted
+        low, high = np.where(less, mid, low), np.where(less, high, mid)
+    return np.maximum.accumulate(high * 2.0 ** (64 - int(_DROP))).astype(np.uint64)
+
+
 def _anchor_runs(length: int, gram: int, buckets: int, block: int):
+    edges = _edges(buckets, length - gram + 1)
+
     def flush(run: int, held: list[tuple[int, int, int, bytes]]) -> Iterator[dict]:
         h, unit, p, n, o = anchors([x[3] for x in held], length, gram)
         if not len(h):
@@ -163,7 +193,7 @@ def _anchor_runs(length: int, gram: int, buckets: int, block: int):
         # documents with a hash; their occurrences follow each other, as the sort is stable
         fresh = np.concatenate(([True], (h[1:] != h[:-1]) | (occ["u"][1:] != occ["u"][:-1])))
         owners = np.where(several, np.add.reduceat(fresh.astype(np.int64), first), 1)
-        part = _bucket(h[first], buckets)
+        heads = h[first]
         here = np.repeat(several, count)
         # what two documents of the block share is settled but for "many": it stays with the block
         if here.any():
@@ -171,14 +201,15 @@ def _anchor_runs(length: int, gram: int, buckets: int, block: int):
                 "part": run % buckets, "run": run, "kind": 1,
                 "hashes": _pack(h[here]), "occ": _pack(occ[here]),
             }
-        for b in np.unique(part):
-            some = np.flatnonzero(part == b)
-            lo, hi = first[some[0]], first[some[-1]] + count[some[-1]]
+        bounds = np.concatenate(([0], np.searchsorted(heads, edges), [len(heads)]))
+        for b in np.flatnonzero(np.diff(bounds)):
+            some = slice(bounds[b], bounds[b + 1])
+            lo, hi = first[some][0], first[some][-1] + count[some][-1]
             yield {
                 "part": int(b),
                 "run": run,
                 "kind": 0,
-                "hashes": _pack(np.diff(h[first[some]], prepend=np.uint64(0))),
+                "hashes": _pack(np.diff(heads[some], prepend=np.uint64(0))),
                 "docs": _pack(owners[some].astype("<u4")),
                 "counts": _pack(np.where(several, 0, count)[some].astype("<u4")),
                 "occ": _pack(occ[lo:hi][~here[lo:hi]]),
@@ -204,10 +235,6 @@ def _anchor_runs(length: int, gram: int, buckets: int, block: int):
     return run_all
 
 
-def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
-    return (h >> np.uint64(24)).astype(np.int64) * buckets >> 24
-
-
 _RUN = pa.schema(
     [
         ("part", pa.int32()), ("run", pa.int64()), ("kind", pa.int32()),
@@ -281,7 +308,7 @@ def _candidates(group: pd.DataFrame) -> pd.DataFrame:
     found += [(_unpack(x, _OCC), np.uint8(1)) for x in of_kind(4)["occ"]]
     for hashes, occ in zip(of_kind(1)["hashes"], of_kind(1)["occ"], strict=True):
         found.append((_unpack(occ, _OCC), np.isin(_unpack(hashes, "<u8"), many)))
-    out: dict[str, list] = {"id": [], "key": [], "cand": []}
+    out: dict[str, list] = {"id": [], "key": [], "cand": [], "keys": []}
     if found:
         table = np.concatenate([_unpack(x, _DOC) for x in of_kind(2)["occ"]])
         occ = np.concatenate([o for o, _ in found])
@@ -296,6 +323,8 @@ def _candidates(group: pd.DataFrame) -> pd.DataFrame:
             out["id"].append(int(doc["id"]))
             out["key"].append(int(doc["key"]))
             out["cand"].append(cand[order[s:e]].tobytes())
+        keys = np.where(cand["hot"], cand["n"], 1)[order]  # as many as will be sent
+        out["keys"] = np.add.reduceat(keys, first, dtype=np.int64).tolist()
     return pd.DataFrame(out)
 
 
@@ -314,20 +343,22 @@ def common(a: bytes, b: bytes, known: int) -> int:
 
 def front_code(keys: list[bytes]) -> bytes:
     """Sorted keys, each as its common prefix with the one before and the rest."""
-    prefixes, rests, before = [], [], b""
-    for key in keys:
-        shared = common(before, key, 0)
-        prefixes.append(shared)
-        rests.append(key[shared:])
-        before = key
+    sizes = np.fromiter(map(len, keys), np.int64, len(keys))
+    wide = max(1, int(sizes.max(initial=0)))
+    table = np.array(keys, f"S{wide}").view(np.uint8).reshape(len(keys), wide)
+    differ = table[1:] != table[:-1]
+    prefixes = np.zeros(len(keys), np.int64)
+    prefixes[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), wide)
+    prefixes[1:] = np.minimum(prefixes[1:], np.minimum(sizes[1:], sizes[:-1]))  # zeros only pad
+    rests = [key[shared:] for key, shared in zip(keys, prefixes.tolist(), strict=True)]
     head = np.array([len(keys)], "<u4").tobytes()
-    lengths = np.array([prefixes, [len(r) for r in rests]], "<u2").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + lengths + b"".join(rests))
+    lengths = np.array([prefixes, sizes - prefixes], "<u2").tobytes()
+    return _compress(head + lengths + b"".join(rests))
 
 
 def front_decode(data: bytes) -> tuple[list[bytes], list[int]]:
     """The keys and their common prefixes."""
-    raw = zstandard.ZstdDecompressor().decompress(data)
+    raw = _decompress(data)
     n = int(np.frombuffer(raw, "<u4", 1)[0])
     prefixes, lengths = np.frombuffer(raw, "<u2", 2 * n, 4).reshape(2, -1).tolist()
     keys, before, at = [], b"", 4 + 4 * n
@@ -397,39 +428,38 @@ def merge(runs: list[tuple[list[bytes], list[int]]]) -> Iterator[tuple[bytes, in
 def _key_runs(length: int, gram: int, buckets: int, run_bytes: int):
     """Runs of keys with the smallest id that has each, and ranges settled in the block."""
 
-    def flush(run: int, keys: list[bytes], where: list[tuple]) -> Iterator[dict]:
-        order = sorted(range(len(keys)), key=keys.__getitem__)
-        settled: list[tuple[int, int, int, int]] = []
-        sent: dict[int, tuple[list, list, list]] = {}
-        i = 0
-        while i < len(order):
-            j = i + 1
-            while j < len(order) and keys[order[j]] == keys[order[i]]:
-                j += 1
-            own = [where[k] for k in order[i:j]]
-            low = min(w[0] for w in own)
-            bucket, key = int.from_bytes(keys[order[i]][:4], "big"), keys[order[i]][4:]
-            strings, ids, places = sent.setdefault(bucket, ([], [], []))
-            for doc, text, p, n in own:
-                if doc > low:
-                    settled.append((doc, text, p, n))
-                else:
-                    places.append((doc, text, p, n, len(strings)))
-            strings.append(key)
-            ids.append(low)
-            i = j
-        for bucket, (strings, ids, places) in sent.items():
+    def flush(run: int, keys: list[bytes], where: tuple[array, ...]) -> Iterator[dict]:
+        order = np.array(sorted(range(len(keys)), key=keys.__getitem__))
+        keys = [keys[i] for i in order]
+        own = np.zeros(len(keys), _GONE)
+        for name, values in zip(_GONE.names, where, strict=True):
+            own[name] = np.array(values)[order]
+        first = np.flatnonzero([True, *(a != b for a, b in pairwise(keys))])
+        low = np.minimum.reduceat(own["id"], first)
+        ends = np.append(first[1:], len(keys))
+        number = np.repeat(np.arange(len(first)), ends - first)
+        settled = own["id"] > low[number]
+        bucket = np.array([int.from_bytes(keys[i][:4], "big") for i in first])
+        cuts = _starts(bucket)
+        for s, e in zip(cuts, np.append(cuts[1:], len(first)), strict=True):
+            some = np.flatnonzero(~settled[first[s] : ends[e - 1]]) + first[s]
+            sent = np.zeros(len(some), _SENT)
+            for name in _GONE.names:
+                sent[name] = own[name][some]
+            sent["s"] = number[some] - s
             yield {
-                "bucket": bucket, "run": run, "keys": front_code(strings),
-                "ids": _pack(np.array(ids, "<i8")), "sent": _pack(np.array(places, _SENT)),
+                "bucket": int(bucket[s]), "run": run, "keys": front_code([keys[i][4:] for i in first[s:e]]),
+                "ids": _pack(low[s:e]), "sent": _pack(sent),
             }
-        if settled:
-            yield {"bucket": run % buckets, "run": run, "gone": _pack(np.array(settled, _GONE))}
+        if settled.any():
+            yield {"bucket": run % buckets, "run": run, "gone": _pack(own[settled])}
+
+    def unheld() -> tuple[list[bytes], tuple[array, ...]]:
+        return [], (array("q"), array("q"), array("I"), array("B"))
 
     def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = TaskContext.get().partitionId() << 32
-        keys: list[bytes] = []  # with the bucket in front
-        where: list[tuple] = []
+        keys, where = unheld()  # with the bucket in front; id, text, first window and windows of each
         size = 0
         for batch in batches:
             for doc, text_key, text, lists in zip(*(c for c in batch.columns), strict=True):
@@ -444,11 +474,14 @@ def _key_runs(length: int, gram: int, buckets: int, run_bytes: int):
                         a = q + back
                         key = raw[a : q + m - 1 + length] + raw[q:a] + bytes((back, m))
                         keys.append(part.to_bytes(4, "big") + key)
-                        where.append((doc, text_key, q, m))
+                        where[2].append(q)
+                        where[3].append(m)
                         size += len(key)
+                for values, value in zip(where, (doc, text_key), strict=False):
+                    values.extend([value] * (len(keys) - len(values)))
                 if size >= run_bytes:
                     yield from _batches(flush(run, keys, where), _KEY_RUN)
-                    run, keys, where, size = run + 1, [], [], 0
+                    run, (keys, where), size = run + 1, unheld(), 0
         if keys:
             yield from _batches(flush(run, keys, where), _KEY_RUN)
 
@@ -465,7 +498,7 @@ def _windows(key: bytes, length: int) -> list[bytes]:
 def _answers(length: int, gram: int):
     """Of a bucket's runs, the windows that a smaller id has, as ranges of the senders."""
 
-    def settle(group: list[tuple[bytes, int, int]], ids: list[list[int]], masks: list[np.ndarray]) -> None:
+    def settle(group: list[tuple[bytes, int, int]], ids: list[array], masks: list[np.ndarray]) -> None:
         """``group``: key, run, place of all keys with one anchor; equal keys are neighbours."""
         if all(key == group[0][0] for key, _, _ in group):
             low = min(ids[r][i] for _, r, i in group)
@@ -493,7 +526,7 @@ def _answers(length: int, gram: int):
         if not len(group):
             return settled
         runs = [front_decode(k) for k in group["keys"]]
-        ids = [_unpack(x, "<i8").tolist() for x in group["ids"]]
+        ids = [array("q", _unpack(x, "<i8").tobytes()) for x in group["ids"]]
         masks = [np.zeros(len(x), "<u8") for x in ids]
         held: list[tuple[bytes, int, int]] = []
         for key, shared, r, i in merge(runs):
@@ -585,6 +618,7 @@ def remove_repeats(
     hot: int = HOT,
     block: int = _BLOCK,
     run_bytes: int = _KEYS,
+    bucket_keys: int = _BUCKET_KEYS,
 ) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) of every row."""
     if not 0 < gram <= length or length - gram > 60 or length > 200:
@@ -603,12 +637,17 @@ def remove_repeats(
         lambda group: _shared(hot, group), "run long, kind int, hashes binary, occ binary"
     )
     candidates = shared.groupBy("run").applyInPandas(
-        _candidates, "id long, key long, cand binary"
+        _candidates, "id long, key long, cand binary, keys long"
     )
     # rows that repeat a document may lie in several runs
-    by_doc = candidates.groupBy("id", "key").agg(F.collect_list("cand").alias("cand"))
+    by_doc = staged(
+        candidates.groupBy("id", "key").agg(F.collect_list("cand").alias("cand"), F.sum("keys").alias("keys")),
+        "candidates",
+        clean=True,
+    )
+    buckets = max(buckets, (by_doc.agg(F.sum("keys")).first()[0] or 0) // bucket_keys)
     found = (
-        rows.join(staged(by_doc, "candidates", clean=True), ["id", "key"])
+        rows.join(by_doc, ["id", "key"])
         .select("id", "key", "text", "cand")
         .mapInArrow(
             _key_runs(length, gram, buckets, run_bytes),

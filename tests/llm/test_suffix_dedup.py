@@ -90,3 +90,26 @@ def test_answers_are_a_row_per_run_however_many_documents_share_keys():
     assert found["id"].tolist() == list(range(8000, 8060)) and found["key"].tolist() == [-x for x in found["id"]]
     spans = {i: np.frombuffer(x, suffix_dedup._RANGE).tolist() for i, x in zip(found["id"], found["ranges"], strict=True)}
     assert sorted(spans[8010]) == [(5, 1), (90, 2), (95, 1)] and spans[8011] == [(5, 1)]
+
+
+def test_anchors_are_dealt_evenly(spark):
+    r = random.Random(8)
+    rows = [(i, i, "".join(r.choice("abcdefghijklmnop ") for _ in range(4000))) for i in range(60)]
+    runs = spark.createDataFrame(rows, "id long, key long, text string").mapInArrow(
+        suffix_dedup._anchor_runs(50, 24, 40, 1 << 20),
+        "part int, run long, kind int, hashes binary, docs binary, counts binary, occ binary",
+    )
+    found = {p: 0 for p in range(40)}
+    for row in runs.where("kind = 0").collect():
+        found[row.part] += len(suffix_dedup._unpack(row.hashes, "<u8"))
+    mean = sum(found.values()) / 40
+    assert mean > 300 and max(found.values()) < 1.5 * mean and min(found.values()) > 0.5 * mean
+
+
+def test_more_buckets_for_more_keys(spark):
+    rows = passages()
+    df = spark.createDataFrame([(*x, "k") for x in rows], "doc_id long, text string, kept string").repartition(5)
+    got = [tuple(r) for r in remove_repeats(df, 50, 24, block=700, run_bytes=3000, bucket_keys=20).collect()]
+    assert sorted(((*r[:4], bytes(r[4])) for r in got), key=str) == brute(rows, 50)
+    coded = front_code(keys := [b"", b"a", b"a\0", b"a\0\0", b"a\0b", b"ab", b"ab"])
+    assert front_decode(coded) == (keys, [0, 0, 1, 2, 2, 1, 2])
