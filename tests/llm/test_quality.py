@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 
-from clinsift.llm.quality import fit, keep_good, rank_quality, text_features
+from clinsift.llm.quality import fit, keep_good, rank_quality, text_features, train
 
 SF = "/root/testdata/sf0.01"
 
@@ -47,3 +47,33 @@ def test_pairs_order_the_documents():
     model = fit(good, bad, (1.0, 1.0), pairs=5000)
     assert (model.score(good) >= 0.3).mean() > 0.95 and (model.score(bad) < 0.3).mean() > 0.95
     assert len(text_features("")) == len(text_features("A b.\nC!"))
+
+
+def test_all_labelled_documents_and_all_their_pairs_count(spark):
+    rng = np.random.default_rng(3)
+    for n_good, n_bad, gap in ((400, 90, 1.0), (150, 260, 0.2), (30, 30, 4.0), (11_000, 40, 0.5)):
+        x = np.concatenate((rng.normal(gap, 1, (n_good, 5)), rng.normal(0, 1, (n_bad, 5)))).astype(np.float32)
+        x[0], x[-1] = 60, x[0]  # far off, and twice under both labels
+        y = [1] * n_good + [0] * n_bad
+        ids = [d for d in range(5 * len(x)) if zlib.crc32(str(d).encode()) % 5][: len(x)]
+        described = spark.createDataFrame(
+            [(d, v.tolist()) for d, v in zip(ids, x, strict=True)], "doc_id long, x array<float>"
+        )
+        labels = spark.createDataFrame(list(zip(ids, y, strict=True)), "doc_id long, quality int")
+        got = train(described.repartition(7), labels)
+        want = fit(x[:n_good], x[n_good:])
+        assert np.allclose(got.weights, want.weights, atol=2e-5), abs(got.weights - want.weights).max()
+        assert np.allclose(got.score(x), want.score(x), atol=2e-5)
+        again = train(described.repartition(2), labels)
+        assert np.array_equal(got.weights, again.weights) and got.level == again.level
+
+
+def test_fit_uses_every_pair(spark):
+    rng = np.random.default_rng(4)
+    good, bad = rng.normal(0.5, 1, (60, 3)), rng.normal(0, 1, (50, 3))
+    want = fit(good, bad, pairs=1 << 20)
+    assert np.allclose(fit(good, bad, pairs=70).weights, want.weights, atol=1e-9)
+    z = (np.concatenate((good, bad)) - want.mean) / want.scale
+    diff = (z[:60, None] - z[None, 60:]).reshape(-1, 3)
+    p = 1 / (1 + np.exp(diff @ want.weights))
+    assert np.abs(diff.T @ p / len(diff) - 1e-3 * want.weights).max() < 1e-6
